@@ -197,8 +197,8 @@ def silhouette_euclidean(
                 mine = own == j
                 size = sizes[j]
                 lonely |= mine & (size == 1)
-                # A full reference contains the row itself at distance 0; it does not count.
-                a[mine] = mean[mine] * (size / (size - 1) if 1 < size <= reference_rows else 1.0)
+                # The row itself, at distance 0, is one of the rows drawn from; it does not count.
+                a[mine] = mean[mine] * (size / (size - 1) if size > 1 else 0.0)
                 b[~mine] = np.minimum(b[~mine], mean[~mine])
             top = np.maximum(a, b)
             s = np.divide(b - a, top, out=np.zeros(len(xyz)), where=top > 0)
