@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from claimsieve.operators import cleansing, clusters, expectations, model, monit
 from claimsieve.operators import features as feat
 from claimsieve.params import BAD_CODES, CLAIMS, DEFAULTS, Columns
 from claimsieve.sources import claims, tables
+from claimsieve.streaming import scorer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,11 +167,11 @@ def provider_baseline_window(spark: SparkSession, folder: str) -> DataFrame:
     joined = feat.attach_baseline(
         clean, feat.provider_baseline(clean), small=providers_fit(spark, folder), null_safe=True
     )
-    return rounded(joined.select(*ID, "billed_amount", *feat.BASELINE_COLUMNS), 4)
+    return joined.select(*ID, "billed_amount", *feat.BASELINE_COLUMNS)
 
 
 def provider_baseline_events(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(feat.provider_baseline(table(spark, folder, "events"), EVENTS, scale=None), 4)
+    return rounded(feat.provider_baseline(table(spark, folder, "events"), EVENTS, scale=None), 9)
 
 
 # --- fitted model -------------------------------------------------------------------------
@@ -192,6 +194,48 @@ def gold_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.gold(built, model.train(built).centroids)
 
 
+# --- streams ------------------------------------------------------------------------------
+
+
+def _claim_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a file stream; the orders are a stored table beside it."""
+    schema = table(spark, folder, "lineitem").schema
+    lines = scorer.read_files(spark, f"{folder}/lineitem.parque[t]", schema)
+    arriving = claims.claims_from_line_items(lines, table(spark, folder, "orders"))
+    return scorer.clean_stream(arriving, lateness="0 seconds")
+
+
+def _drain(stream: DataFrame, label: str) -> DataFrame:
+    spark = stream.sparkSession
+    target = tables.new_folder(spark, label)
+    scorer.write_available(stream, target, tables.new_folder(spark, f"{label}-progress")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(target)
+
+
+def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
+    return _drain(_claim_stream(spark, folder), "stream-silver")
+
+
+def stream_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Score the stream with the baseline, scale and anomaly cluster of the stored records."""
+    clean = tables.stage(silver(spark, folder), "silver")
+    small = providers_fit(spark, folder)
+    baseline = tables.stage(feat.provider_baseline(clean), "baseline")
+    built = tables.stage(
+        cleansing.drop_incomplete(feat.features(clean, small=small)), "features"
+    )
+    scale = feat.population_moments(built, BAND.columns).first()
+    placed = replace(
+        BAND,
+        means=tuple(scale[f"mean_{c}"] for c in BAND.columns),
+        deviations=tuple(scale[f"sd_{c}"] for c in BAND.columns),
+    )
+    worst = clusters.anomaly_cluster(clusters.assign(built, placed)).first()["anomaly_cluster"]
+    return _drain(
+        scorer.score_stream(_claim_stream(spark, folder), baseline, placed, worst, small=small), "stream-gold"
+    )
+
+
 def _cut(columns: tuple[str, ...], build: Query) -> Query:
     return lambda s, d: build(s, d).select(*columns)
 
@@ -295,4 +339,7 @@ def queries() -> dict[str, Query]:
         "model_metrics": lambda s, d: model.metrics_row(trained(s, d)),
         "train_metrics": lambda s, d: model.evaluate(trained(s, d)),
         "gold_anomalies": gold_anomalies,
+        # streams
+        "stream_silver": stream_silver,
+        "stream_gold": stream_gold,
     }

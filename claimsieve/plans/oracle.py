@@ -368,17 +368,22 @@ FROM (SELECT *, coalesce(failed / nullif(total_checks, 0), 0::DOUBLE) AS share F
         ),
         "provider_baseline": _over("baseline", "SELECT * FROM baseline"),
         "provider_baseline_events": """
-SELECT user_id, round(avg(value), 4) AS hosp_avg_billed, round(min(value), 4) AS hosp_min_billed,
-       round(max(value), 4) AS hosp_max_billed, round(stddev_samp(value), 4) AS hosp_stddev_billed,
+SELECT user_id, round(avg(value), 9) AS hosp_avg_billed, round(min(value), 9) AS hosp_min_billed,
+       round(max(value), 9) AS hosp_max_billed, round(stddev_samp(value), 9) AS hosp_stddev_billed,
        count(event_id) AS hosp_claim_count
 FROM events GROUP BY user_id""",
         "provider_join": _over("baseline", "SELECT * FROM silver LEFT JOIN baseline USING (hospital_id)"),
         "provider_baseline_window": _over(
             "silver",
-            f"""SELECT {_ID}, round(billed_amount, 4) AS billed_amount, round(avg(billed_amount) OVER w, 4) AS hosp_avg_billed,
-       round(min(billed_amount) OVER w, 4) AS hosp_min_billed, round(max(billed_amount) OVER w, 4) AS hosp_max_billed,
-       round(stddev_samp(billed_amount) OVER w, 4) AS hosp_stddev_billed, count(claim_id) OVER w AS hosp_claim_count
-FROM silver WINDOW w AS (PARTITION BY hospital_id)""",
+            f"""SELECT {_ID}, billed_amount, CAST(s AS DOUBLE) / CAST(n AS DOUBLE) / CAST(100 AS DOUBLE) AS hosp_avg_billed,
+       hosp_min_billed, hosp_max_billed,
+       CASE WHEN n > 1 THEN sqrt(CAST(n * q - s * s AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE)))
+                            / CAST(100 AS DOUBLE) END AS hosp_stddev_billed, hosp_claim_count
+FROM (SELECT *, CAST(count(c) OVER w AS HUGEINT) AS n, CAST(sum(c) OVER w AS HUGEINT) AS s,
+             CAST(sum(c * c) OVER w AS HUGEINT) AS q, min(billed_amount) OVER w AS hosp_min_billed,
+             max(billed_amount) OVER w AS hosp_max_billed, count(claim_id) OVER w AS hosp_claim_count
+      FROM (SELECT *, CAST(round(billed_amount * 100) AS BIGINT) AS c FROM silver)
+      WINDOW w AS (PARTITION BY hospital_id))""",
         ),
         "ratio_feature": _over("features", f"SELECT {_ID}, billed_amount, amount_to_avg_ratio FROM features"),
         "zscore_feature": _over("features", f"SELECT {_ID}, billed_amount, amount_z_score FROM features"),
@@ -481,6 +486,8 @@ FROM (SELECT b AS bronze_count, s AS silver_count, s / nullif(b, 0) AS kept
                 for c in _NULL_CHECKED
             ),
         ),
+        "stream_silver": _over("silver", "SELECT * FROM silver"),
+        "stream_gold": _over("gold", "SELECT * FROM gold"),
         "silhouette_check_fixed": (
             tail_silhouette.replace("SELECT round(avg(", "SELECT v AS silhouette, v > 0.5::DOUBLE AS on_target, v < 0.3::DOUBLE AS alert FROM (SELECT round(avg(")
             .replace("AS silhouette_sq,", "AS v,")
