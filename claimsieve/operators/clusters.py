@@ -86,9 +86,14 @@ def assign(df: DataFrame, model: Centroids, label: str = CLUSTER, keep: bool = F
     return found.drop("_best") if keep else found.drop("_best", *[coordinate(c) for c in model.columns])
 
 
-def inertia(assigned: DataFrame) -> DataFrame:
-    """Sum of squared distances to the own centroid."""
-    return assigned.agg(F.sum(DISTANCE).alias("inertia"), F.count(F.lit(1)).alias("n_samples"))
+def _times(weight: str | None) -> Column:
+    return F.lit(1).cast("bigint") if weight is None else F.col(weight)
+
+
+def inertia(assigned: DataFrame, weight: str | None = None) -> DataFrame:
+    """Sum of squared distances to the own centroid; ``weight`` is the rows a point stands for."""
+    w = _times(weight)
+    return assigned.agg(F.sum(F.col(DISTANCE) * w).alias("inertia"), F.sum(w).alias("n_samples"))
 
 
 def cluster_profile(
@@ -119,23 +124,26 @@ def anomaly_cluster(
     )
 
 
-def silhouette_squared(assigned: DataFrame, model: Centroids, label: str = CLUSTER) -> DataFrame:
+def silhouette_squared(
+    assigned: DataFrame, model: Centroids, label: str = CLUSTER, weight: str | None = None
+) -> DataFrame:
     """Mean silhouette under squared Euclidean distance, exact, in two linear passes.
 
     The summed squared distance from x to a cluster is n*|x|^2 - 2*x.S + Q with the cluster's row
     count n, coordinate sums S and sum of squares Q, so k*(d+2) totals replace all pairs of
     rows. They are one row, read through a scalar subquery. ``assigned`` comes from
     ``assign(..., keep=True)``. A row alone in its cluster scores 0; NULL with fewer than two
-    clusters.
+    clusters. ``weight`` is the number of equal rows a point stands for.
     """
+    w = _times(weight)
     axes = [F.col(coordinate(c)) for c in model.columns]
     norm = _total([x * x for x in axes])
     member = [F.col(label) == j for j in range(model.k)]
     totals = assigned.agg(
         F.struct(
-            *[F.count_if(m).alias(f"n{j}") for j, m in enumerate(member)],
-            *[F.sum(F.when(m, norm)).alias(f"q{j}") for j, m in enumerate(member)],
-            *[F.sum(F.when(m, x)).alias(f"s{j}_{i}") for j, m in enumerate(member) for i, x in enumerate(axes)],
+            *[F.sum(F.when(m, w).otherwise(0)).alias(f"n{j}") for j, m in enumerate(member)],
+            *[F.sum(F.when(m, norm * w)).alias(f"q{j}") for j, m in enumerate(member)],
+            *[F.sum(F.when(m, x * w)).alias(f"s{j}_{i}") for j, m in enumerate(member) for i, x in enumerate(axes)],
         ).alias("t")
     )
 
@@ -146,16 +154,21 @@ def silhouette_squared(assigned: DataFrame, model: Centroids, label: str = CLUST
         dot = _total([x * F.col(f"_t.s{j}_{i}") for i, x in enumerate(axes)])
         return n(j) * norm - 2 * dot + F.col(f"_t.q{j}")
 
-    own = reduce(lambda rest, j: F.when(member[j], F.struct(summed(j).alias("d"), n(j).alias("n"))).otherwise(rest), range(model.k), F.lit(None))
+    own = F.coalesce(
+        *[F.when(member[j], F.struct(summed(j).alias("d"), n(j).alias("n"))) for j in range(model.k)], F.lit(None)
+    )
     others = [F.when(~member[j] & (n(j) > 0), F.greatest(summed(j), F.lit(0.0)) / n(j)) for j in range(model.k)]
     nearest = F.least(*others) if model.k > 1 else F.lit(None).cast("double")
-    measured = assigned.withColumn("_t", totals.scalar()).select(own.alias("own"), nearest.alias("b"))
+    measured = assigned.withColumn("_t", totals.scalar()).select(
+        own.alias("own"), nearest.alias("b"), w.alias("w")
+    )
     a = F.greatest(F.col("own.d"), F.lit(0.0)) / (F.col("own.n") - 1)
     b = F.col("b")
     score = F.when(b.isNull(), None).when(F.col("own.n") == 1, 0.0).otherwise(
         F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
     )
-    return measured.agg(F.avg(score).alias("silhouette_sq"), F.count(F.lit(1)).alias("n_samples"))
+    mean = F.try_divide(F.sum(score * F.col("w")), F.sum("w"))
+    return measured.agg(mean.alias("silhouette_sq"), F.sum("w").alias("n_samples"))
 
 
 def silhouette_euclidean(

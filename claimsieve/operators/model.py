@@ -2,37 +2,81 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from py4j.protocol import Py4JJavaError
 
 from claimsieve.operators.cleansing import drop_incomplete
-from claimsieve.operators.clusters import CLUSTER, DISTANCE, Centroids, assign, silhouette_squared
+from claimsieve.operators.clusters import CLUSTER, Centroids, assign, inertia, silhouette_squared
 from claimsieve.params import DEFAULTS, Params
 from claimsieve.sources.tables import stage
 
+WEIGHT = "n_rows"
+
 
 @dataclass(frozen=True)
 class Fitted:
-    """A fitted pipeline (with its scaler) and the rows it was trained on."""
+    """A fitted pipeline (with its scale) and the distinct points it was trained on."""
 
     pipeline: PipelineModel
     centroids: Centroids
-    training_rows: DataFrame
+    points: DataFrame
+    n_samples: int
+
+
+def distinct_points(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Equal feature rows as one weighted point.
+
+    Amounts repeat, above all within a hot provider: a third of all rows in one provider is at
+    most one point per distinct amount, which every pass of the fit then reads instead.
+    """
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
+
+
+def _scale(points: DataFrame, columns: tuple[str, ...]) -> tuple[int, tuple[float, ...], tuple[float, ...]]:
+    """Rows, means and population deviations of the weighted points: two rows reach the driver.
+
+    A column with one value has deviation 0, whatever the rounding of its mean.
+    """
+    w = F.col(WEIGHT).cast("double")
+    first = points.agg(
+        F.sum(WEIGHT).alias("n"),
+        *[(F.sum(F.col(c) * w) / F.sum(w)).alias(f"mean_{c}") for c in columns],
+        *[(F.min(c) == F.max(c)).alias(f"flat_{c}") for c in columns],
+    ).first()
+    if not first["n"]:
+        return 0, (), ()
+    means = tuple(first[f"mean_{c}"] for c in columns)
+    gaps = [F.col(c) - F.lit(m) for c, m in zip(columns, means)]
+    spread = points.agg(*[F.sqrt(F.sum(g * g * w) / F.sum(w)).alias(c) for c, g in zip(columns, gaps)]).first()
+    return first["n"], means, tuple(0.0 if first[f"flat_{c}"] else spread[c] for c in columns)
+
+
+def _scaling_stage(columns: tuple[str, ...], means: tuple[float, ...], deviations: tuple[float, ...]) -> SQLTransformer:
+    def number(v: float) -> str:
+        return f"CAST('{v!r}' AS DOUBLE)"
+
+    scaled = ", ".join(
+        f"({c} - {number(m)}) / {number(s)} AS scaled_{c}" if s > 0 else f"{number(0.0)} AS scaled_{c}"
+        for c, m, s in zip(columns, means, deviations)
+    )
+    return SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
 
 
-def fit_pipeline(df: DataFrame, params: Params = DEFAULTS) -> PipelineModel:
-    """Assembler, scaler and k-means as one Spark ML pipeline. Only centres travel per iteration."""
+def fit_pipeline(
+    points: DataFrame, means: tuple[float, ...], deviations: tuple[float, ...], params: Params = DEFAULTS
+) -> PipelineModel:
+    """Scale, assembler and k-means as one Spark ML pipeline. Only centres travel per iteration."""
+    columns = params.feature_columns
     stages = [
-        VectorAssembler(inputCols=list(params.feature_columns), outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        _scaling_stage(columns, means, deviations),
+        VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="features"),
         KMeans(
             k=params.n_clusters,
             seed=params.seed,
@@ -40,49 +84,45 @@ def fit_pipeline(df: DataFrame, params: Params = DEFAULTS) -> PipelineModel:
             tol=params.tol,
             featuresCol="features",
             predictionCol=CLUSTER,
+            weightCol=WEIGHT,
         ),
     ]
-    return Pipeline(stages=stages).fit(df)
-
-
-def centroids_of(pipeline: PipelineModel, n_rows: int, columns: tuple[str, ...] = DEFAULTS.feature_columns) -> Centroids:
-    """The model's centres on the population scale.
-
-    The Spark scaler divides by the sample deviation; every axis differs from the population
-    scale by the same factor, so clusters are the same and distances are rescaled here.
-    """
-    scaler, kmeans = pipeline.stages[1], pipeline.stages[2]
-    shrink = math.sqrt((n_rows - 1) / n_rows) if n_rows > 1 else 1.0
-    return Centroids(
-        tuple(columns),
-        tuple(tuple(float(v) / shrink for v in center) for center in kmeans.clusterCenters()),
-        tuple(float(v) for v in scaler.mean),
-        tuple(float(v) * shrink for v in scaler.std),
-    )
+    return Pipeline(stages=stages).fit(points)
 
 
-def train(features: DataFrame, params: Params = DEFAULTS, min_rows: int = 1) -> Fitted:
-    """Complete rows -> staged feature columns -> fit.
+def train(features: DataFrame, params: Params = DEFAULTS, min_rows: int = 1, complete: bool = False) -> Fitted:
+    """Complete rows -> weighted feature points, staged -> fit.
 
-    Fitting makes many passes. The three feature columns are written once to the shared folder,
-    so no pass, and no executor that is replaced, has to repeat the joins and shuffles before it.
-    Too few rows raise ValueError.
+    Fitting makes many passes. The points are written once to the shared folder, so no pass, and
+    no executor that is replaced, has to repeat the joins and shuffles before it. ``complete``
+    says that incomplete rows are gone already, and spares reading all columns to find them. Too
+    few rows raise ValueError.
     """
-    rows = stage(drop_incomplete(features).select(*params.feature_columns), "training")
-    n = rows.count()
+    rows = features if complete else drop_incomplete(features)
+    columns = params.feature_columns
+    # In sorted partitions the seeded start of the fit sees the same order in every run.
+    points = stage(distinct_points(rows, columns).sortWithinPartitions(*columns), "training")
+    n, means, deviations = _scale(points, columns)
     if n < max(min_rows, 1):
         raise ValueError(f"{n} complete rows are too few to train on (at least {max(min_rows, 1)})")
-    pipeline = fit_pipeline(rows, params)
-    return Fitted(pipeline, centroids_of(pipeline, n, params.feature_columns), rows)
+    pipeline = fit_pipeline(points, means, deviations, params)
+    return Fitted(pipeline, centroids_of(pipeline, columns, means, deviations), points, n)
+
+
+def centroids_of(
+    pipeline: PipelineModel, columns: tuple[str, ...], means: tuple[float, ...], deviations: tuple[float, ...]
+) -> Centroids:
+    """The model as plain numbers (k x d), for scoring by expressions."""
+    centers = tuple(tuple(float(v) for v in center) for center in pipeline.stages[-1].clusterCenters())
+    return Centroids(tuple(columns), centers, tuple(means), tuple(deviations))
 
 
 def evaluate(fitted: Fitted) -> DataFrame:
     """One row: squared-Euclidean silhouette, inertia, clusters, rows."""
-    assigned = assign(fitted.training_rows, fitted.centroids, keep=True)
-    total = assigned.agg(F.sum(DISTANCE)).scalar()
-    return silhouette_squared(assigned, fitted.centroids).select(
+    assigned = assign(fitted.points, fitted.centroids, keep=True)
+    return silhouette_squared(assigned, fitted.centroids, weight=WEIGHT).select(
         "silhouette_sq",
-        total.alias("inertia"),
+        inertia(assigned, WEIGHT).select("inertia").scalar().alias("inertia"),
         F.lit(fitted.centroids.k).alias("n_clusters"),
         "n_samples",
     )
@@ -106,22 +146,24 @@ def centers_frame(fitted: Fitted, spark: SparkSession) -> DataFrame:
 
 
 def save(fitted: Fitted, path: str) -> None:
-    """Store the pipeline, scaler included, and the row count that fixes its scale."""
+    """Store the pipeline and the scale it was trained with."""
     fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
-    columns = fitted.centroids.columns
-    rows = fitted.training_rows.agg(F.count(F.lit(1)).alias("n_rows"))
-    rows.select("n_rows", F.array(*[F.lit(c) for c in columns]).alias("columns")).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/training")
+    c = fitted.centroids
+    spark = fitted.points.sparkSession
+    scale = spark.createDataFrame(
+        [(list(c.columns), list(c.means), list(c.deviations), fitted.n_samples)],
+        "columns array<string>, means array<double>, deviations array<double>, n_samples bigint",
+    )
+    scale.coalesce(1).write.mode("overwrite").parquet(f"{path}/scale")
 
 
 def load(spark: SparkSession, *paths: str) -> tuple[PipelineModel, Centroids]:
     """The model of the first path that holds one (for example production, then staging)."""
     for path in paths:
         try:
-            info = spark.read.parquet(f"{path}/training").first()
+            scale = spark.read.parquet(f"{path}/scale").first()
             pipeline = PipelineModel.load(f"{path}/pipeline")
         except (AnalysisException, Py4JJavaError):
             continue
-        return pipeline, centroids_of(pipeline, info["n_rows"], tuple(info["columns"]))
+        return pipeline, centroids_of(pipeline, tuple(scale["columns"]), tuple(scale["means"]), tuple(scale["deviations"]))
     raise ValueError("no model at " + ", ".join(paths))

@@ -38,11 +38,18 @@ def score_assigned(assigned: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def gold(features: DataFrame, model: Centroids, params: Params = DEFAULTS, refit_scale: bool = False) -> DataFrame:
+def gold(
+    features: DataFrame,
+    model: Centroids,
+    params: Params = DEFAULTS,
+    refit_scale: bool = False,
+    complete: bool = False,
+) -> DataFrame:
     """Complete rows -> clusters -> anomaly cluster -> flag, confidence, level.
 
     The scale is the one the model was trained with; ``refit_scale`` takes it from the rows
-    being scored instead.
+    being scored instead. ``complete`` says that incomplete rows are gone already.
     """
     centroids = model.without_scale() if refit_scale else model
-    return drop_incomplete(features).transform(assign, centroids).drop(DISTANCE).transform(score_assigned, params)
+    rows = features if complete else drop_incomplete(features)
+    return rows.transform(assign, centroids).drop(DISTANCE).transform(score_assigned, params)

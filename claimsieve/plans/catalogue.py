@@ -177,21 +177,27 @@ def provider_baseline_events(spark: SparkSession, folder: str) -> DataFrame:
 # --- fitted model -------------------------------------------------------------------------
 
 
+def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, model.Fitted]:
+    """The complete feature rows, stored once, and the model trained on them."""
+    rows = tables.stage(complete(spark, folder), "features")
+    return rows, model.train(rows, complete=True)
+
+
 def kmeans_assign(spark: SparkSession, folder: str) -> DataFrame:
-    fitted = trained(spark, folder)
-    return clusters.assign(complete(spark, folder), fitted.centroids).select(*ID, clusters.CLUSTER, clusters.DISTANCE)
+    rows, fitted = _stored(spark, folder)
+    return clusters.assign(rows, fitted.centroids).select(*ID, clusters.CLUSTER, clusters.DISTANCE)
 
 
 def _euclidean(spark: SparkSession, folder: str) -> DataFrame:
-    fitted = trained(spark, folder)
-    scored = clusters.assign(fitted.training_rows, fitted.centroids, keep=True)
+    rows, fitted = _stored(spark, folder)
+    scored = clusters.assign(rows.select(*fitted.centroids.columns), fitted.centroids, keep=True)
     return clusters.silhouette_euclidean(scored, fitted.centroids)
 
 
 def gold_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     """Train on the features of the tables and score them: the whole pipeline as one result."""
-    built = tables.stage(features(spark, folder), "features")
-    return scoring.gold(built, model.train(built).centroids)
+    rows, fitted = _stored(spark, folder)
+    return scoring.gold(rows, fitted.centroids, complete=True)
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -221,9 +227,7 @@ def stream_gold(spark: SparkSession, folder: str) -> DataFrame:
     clean = tables.stage(silver(spark, folder), "silver")
     small = providers_fit(spark, folder)
     baseline = tables.stage(feat.provider_baseline(clean), "baseline")
-    built = tables.stage(
-        cleansing.drop_incomplete(feat.features(clean, small=small)), "features"
-    )
+    built = tables.stage(cleansing.drop_incomplete(feat.features(clean, small=small)), "features")
     scale = feat.population_moments(built, BAND.columns).first()
     placed = replace(
         BAND,

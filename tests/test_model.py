@@ -43,16 +43,32 @@ def test_expressions_agree_with_the_pipeline(planted, fitted):
 def test_metrics(planted, fitted):
     row = model.evaluate(fitted).first()
     assert (row.n_clusters, row.n_samples) == (3, 380)
-    rows = fitted.training_rows
-    x = np.array([tuple(r) for r in rows.collect()])
+    x = np.array([tuple(r) for r in planted.na.drop().select(*PARAMS.feature_columns).collect()])
     z = (x - x.mean(axis=0)) / x.std(axis=0)
     centers = np.array(fitted.centroids.centers)
     assert row.inertia == pytest.approx(((z[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum())
-    spark_ml = ClusteringEvaluator(predictionCol=clusters.CLUSTER).evaluate(fitted.pipeline.transform(rows))
+    spark_ml = ClusteringEvaluator(predictionCol=clusters.CLUSTER).evaluate(fitted.pipeline.transform(planted.na.drop()))
     assert row.silhouette_sq == pytest.approx(spark_ml)
     assert row.silhouette_sq > 0.5
 
 
+def test_equal_rows_weigh_what_they_count(planted, fitted):
+    thrice = planted.unionAll(planted).unionAll(planted)
+    again = model.train(thrice, PARAMS)
+    assert again.points.count() == fitted.points.count() == 380 and again.n_samples == 3 * 380
+    assert np.allclose(sorted(again.centroids.centers), sorted(fitted.centroids.centers))
+    one, three = model.evaluate(fitted).first(), model.evaluate(again).first()
+    assert three.inertia == pytest.approx(3 * one.inertia) and three.n_samples == 3 * one.n_samples
+    rows = clusters.assign(thrice.na.drop(), again.centroids, keep=True)
+    assert three.silhouette_sq == pytest.approx(clusters.silhouette_squared(rows, again.centroids).first().silhouette_sq)
+
+
+def test_column_without_spread(planted):
+    flat = planted.withColumn("a", F.when(F.col("a").isNotNull(), F.lit(0.1)))
+    fitted = model.train(flat, PARAMS)
+    assert fitted.centroids.deviations[0] == 0.0 and all(c[0] == 0.0 for c in fitted.centroids.centers)
+
+
 def test_save_and_load_with_scale(spark, fitted, tmp_path):
     model.save(fitted, str(tmp_path / "staging"))
     pipeline, centroids = model.load(spark, str(tmp_path / "production"), str(tmp_path / "staging"))
