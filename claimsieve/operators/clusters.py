@@ -197,13 +197,16 @@ def silhouette_euclidean(
 
     def score(batches):
         for batch in batches:
+            if batch.empty:
+                continue
             xyz, own = batch[axes].to_numpy(), batch["_c"].to_numpy()
             mean_to = {}
             for j, ref in drawn.items():
-                gaps = np.zeros((len(xyz), len(ref)))
-                for i in range(xyz.shape[1]):
-                    gaps += (xyz[:, i, None] - ref[None, :, i]) ** 2
-                mean_to[j] = np.sqrt(gaps).mean(axis=1)
+                step = max(1, 1_000_000 // len(ref))
+                blocks = [xyz[i : i + step] for i in range(0, len(xyz), step)]
+                mean_to[j] = np.concatenate(
+                    [np.sqrt(((block[:, None, :] - ref[None, :, :]) ** 2).sum(axis=2)).mean(axis=1) for block in blocks]
+                )
             a, b = np.zeros(len(xyz)), np.full(len(xyz), np.inf)
             lonely = np.zeros(len(xyz), dtype=bool)
             for j, mean in mean_to.items():

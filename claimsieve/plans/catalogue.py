@@ -22,11 +22,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 TAIL = clusters.Centroids(DEFAULTS.feature_columns, tuple((v, 0.0, v) for v in (0.0, 6.0, 14.0)))
 BAND = clusters.Centroids(DEFAULTS.feature_columns, tuple((v, 0.0, v) for v in (-0.5, 0.25, 1.0)))
 
+# BAND with a scale of its own, as a fitted model has one.
+TRAINED = replace(BAND, means=(2600.0, 2600.0, 1.0), deviations=(2000.0, 80.0, 0.75))
+
 # The event stream as a second fact table: users are providers, the value is the amount.
 EVENTS = Columns(
     record="event_id", subject="user_id", provider="user_id", code="event_type", amount="value", status="props",
     event_time="ts",
 )
+EVENT_BAND = replace(BAND, columns=(EVENTS.amount, feat.MEAN, feat.RATIO))
 KEYS = ("claim_id", "patient_id", "hospital_id")
 ID = (*KEYS, "service_ts")
 CLAIM_COLUMNS = (*KEYS, "diagnosis_code", "billed_amount", "claim_status", "service_ts")
@@ -177,6 +181,12 @@ def provider_baseline_events(spark: SparkSession, folder: str) -> DataFrame:
 # --- fitted model -------------------------------------------------------------------------
 
 
+def silhouette_euclidean_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact while no cluster of events has more than ten thousand rows."""
+    scored = clusters.assign(cleansing.drop_incomplete(event_features(spark, folder)), EVENT_BAND, keep=True)
+    return rounded(clusters.silhouette_euclidean(scored, EVENT_BAND, reference_rows=10_000))
+
+
 def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, model.Fitted]:
     """The complete feature rows, stored once, and the model trained on them."""
     rows = tables.stage(complete(spark, folder), "features")
@@ -313,6 +323,10 @@ def queries() -> dict[str, Query]:
         "risk_level": _cut((*ID, "billed_amount", "anomaly_confidence", "risk_level"), gold),
         "gold_fixed_centroids": gold,
         "gold_fixed_centroids_tail": lambda s, d: gold(s, d, TAIL),
+        "gold_trained_scale": lambda s, d: gold(s, d, TRAINED),
+        "gold_refit_scale": lambda s, d: scoring.gold(features(s, d), TRAINED, refit_scale=True),
+        "gold_events": lambda s, d: scoring.gold(event_features(s, d), EVENT_BAND),
+        "silhouette_euclidean_events": silhouette_euclidean_events,
         # reports
         "anomaly_summary": lambda s, d: reports.anomaly_summary(gold(s, d)),
         "risk_counts": lambda s, d: reports.risk_counts(gold(s, d)),

@@ -73,35 +73,48 @@ _CTES["event_baseline"] = _baseline("events", "user_id", "value", "event_id")
 _CTES["event_features"] = _features("events", "event_baseline", "user_id", "value")
 
 _FEATURES = DEFAULTS.feature_columns
-_CTES["complete"] = """
+_EVENT_FEATURES = ("value", *_FEATURES[1:])
+_BUILT_COLUMNS = "hosp_avg_billed IS NOT NULL AND hosp_stddev_billed IS NOT NULL AND amount_to_avg_ratio IS NOT NULL"
+_CTES["complete"] = f"""
 SELECT * FROM features
 WHERE claim_id IS NOT NULL AND patient_id IS NOT NULL AND hospital_id IS NOT NULL AND diagnosis_code IS NOT NULL
-  AND billed_amount IS NOT NULL AND claim_status IS NOT NULL AND service_ts IS NOT NULL
-  AND hosp_avg_billed IS NOT NULL AND hosp_stddev_billed IS NOT NULL AND amount_to_avg_ratio IS NOT NULL"""
-_CTES["moments"] = (
-    "SELECT "
-    + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_FEATURES))
-    + " FROM complete"
-)
-_CTES["placed"] = (
-    "SELECT complete.*, "
-    + ", ".join(
-        f"CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE CAST(0 AS DOUBLE) END AS x{i}" for i, c in enumerate(_FEATURES)
-    )
-    + " FROM complete, moments"
-)
+  AND billed_amount IS NOT NULL AND claim_status IS NOT NULL AND service_ts IS NOT NULL AND {_BUILT_COLUMNS}"""
+_CTES["event_complete"] = f"""
+SELECT * FROM event_features
+WHERE event_id IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL
+  AND value IS NOT NULL AND props IS NOT NULL AND {_BUILT_COLUMNS}"""
+
+
+def _moments(source: str, columns: tuple[str, ...]) -> str:
+    return "SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(columns)) + f" FROM {source}"
+
+
+def _placed(source: str, moments: str, columns: tuple[str, ...]) -> str:
+    x = [f"CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE CAST(0 AS DOUBLE) END AS x{i}" for i, c in enumerate(columns)]
+    return f"SELECT {source}.*, " + ", ".join(x) + f" FROM {source}, {moments}"
+
+
+_CTES["moments"] = _moments("complete", _FEATURES)
+_CTES["event_moments"] = _moments("event_complete", _EVENT_FEATURES)
+_CTES["trained_moments"] = """
+SELECT 2600::DOUBLE AS m0, 2000::DOUBLE AS s0, 2600::DOUBLE AS m1, 80::DOUBLE AS s1, 1::DOUBLE AS m2, 0.75::DOUBLE AS s2"""
+_CTES["placed"] = _placed("complete", "moments", _FEATURES)
+_CTES["event_placed"] = _placed("event_complete", "event_moments", _EVENT_FEATURES)
+_CTES["trained_placed"] = _placed("complete", "trained_moments", _FEATURES)
 
 
-def _assigned(values: tuple[float, float, float]) -> str:
+def _assigned(values: tuple[float, float, float], placed: str = "placed") -> str:
     d = [f"((x0 - ({v}::DOUBLE)) ** 2 + x1 ** 2 + (x2 - ({v}::DOUBLE)) ** 2)" for v in values]
     return f"""
 SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS cluster_prediction,
        least(d0, d1, d2) AS squared_distance
-FROM (SELECT *, {d[0]} AS d0, {d[1]} AS d1, {d[2]} AS d2 FROM placed)"""
+FROM (SELECT *, {d[0]} AS d0, {d[1]} AS d1, {d[2]} AS d2 FROM {placed})"""
 
 
 _CTES["tail"] = _assigned((0.0, 6.0, 14.0))
 _CTES["band"] = _assigned((-0.5, 0.25, 1.0))
+_CTES["event_band"] = _assigned((-0.5, 0.25, 1.0), "event_placed")
+_CTES["trained_band"] = _assigned((-0.5, 0.25, 1.0), "trained_placed")
 
 
 def _worst(assigned: str) -> str:
@@ -126,7 +139,11 @@ FROM (SELECT *, CASE WHEN is_anomaly THEN least(1::DOUBLE, (amount_to_avg_ratio
 
 _CTES["worst_band"] = _worst("band")
 _CTES["worst_tail"] = _worst("tail")
+_CTES["worst_event"] = _worst("event_band")
+_CTES["worst_trained"] = _worst("trained_band")
 _CTES["gold"] = _gold("band", "worst_band")
+_CTES["gold_event"] = _gold("event_band", "worst_event")
+_CTES["gold_trained"] = _gold("trained_band", "worst_trained")
 _CTES["gold_tail"] = _gold("tail", "worst_tail")
 
 
@@ -206,6 +223,17 @@ _NEEDS = {
     "worst_tail": ("tail",),
     "gold": ("worst_band",),
     "gold_tail": ("worst_tail",),
+    "event_complete": ("event_features",),
+    "event_moments": ("event_complete",),
+    "event_placed": ("event_moments",),
+    "event_band": ("event_placed",),
+    "worst_event": ("event_band",),
+    "gold_event": ("worst_event",),
+    "trained_moments": (),
+    "trained_placed": ("complete", "trained_moments"),
+    "trained_band": ("trained_placed",),
+    "worst_trained": ("trained_band",),
+    "gold_trained": ("worst_trained",),
     "results": ("features",),
     "report": ("results",),
 }
@@ -426,6 +454,20 @@ FROM tail GROUP BY 1""",
         "risk_level": _over("gold", f"SELECT {_ID}, billed_amount, anomaly_confidence, risk_level FROM gold"),
         "gold_fixed_centroids": _over("gold", "SELECT * FROM gold"),
         "gold_fixed_centroids_tail": _over("gold_tail", "SELECT * FROM gold_tail"),
+        "gold_trained_scale": _over("gold_trained", "SELECT * FROM gold_trained"),
+        "gold_refit_scale": _over("gold", "SELECT * FROM gold"),
+        "gold_events": _over("gold_event", "SELECT * FROM gold_event"),
+        "silhouette_euclidean_events": _over("event_band", "").rstrip()
+        + """
+, sizes AS (SELECT cluster_prediction AS j, count(*) AS n FROM event_band GROUP BY 1),
+gaps AS (SELECT a.event_id, a.cluster_prediction AS own, b.cluster_prediction AS j,
+                sum(sqrt((a.x0 - b.x0) ** 2 + (a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2)) AS d
+         FROM event_band a, event_band b GROUP BY 1, 2, 3),
+scores AS (SELECT event_id, max(CASE WHEN j = own THEN n END) AS own_n,
+                  max(CASE WHEN j = own AND n > 1 THEN d / (n - 1) END) AS a, min(CASE WHEN j <> own THEN d / n END) AS b
+           FROM gaps JOIN sizes USING (j) GROUP BY 1)
+SELECT round(avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END), 6) AS silhouette,
+       count(*) AS n_samples FROM scores""",
         "anomaly_summary": _over(
             "gold",
             """SELECT count(*) AS total_claims, count(*) FILTER (WHERE is_anomaly) AS anomalies,
