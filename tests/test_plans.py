@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from claimsieve.operators import cleansing
+from claimsieve.operators import cleansing, scoring
 from claimsieve.operators import features as feat
 from claimsieve.plans import catalogue
 
@@ -49,8 +49,8 @@ def test_many_providers_are_not_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_raw_rows_are_read_once_for_the_whole_gold_query(spark):
-    df = catalogue.queries()["gold_fixed_centroids"](spark, SMALL)
+def test_raw_rows_are_read_once_even_by_an_unstored_gold_plan(spark):
+    df = scoring.gold(catalogue.features(spark, SMALL), catalogue.BAND)
     df.collect()
     scans = []
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -87,6 +87,14 @@ def test_baseline_reads_only_its_columns(spark, sample, tmp_path):
     assert "partial_sum" in plan and "partial_count" in plan
 
 
+def test_scale_and_anomaly_cluster_read_three_columns(spark):
+    df = catalogue.queries()["gold_fixed_centroids"](spark, SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    narrow = re.findall(r"FileScan parquet \[billed_amount#\d+,hosp_avg_billed#\d+,amount_to_avg_ratio#\d+\]", plan)
+    assert len(narrow) >= 2 and "Exchange hashpartitioning(billed_amount" not in plan
+
+
 def test_adaptive_execution_is_on(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
