@@ -292,6 +292,11 @@ SELECT round(avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(great
        count(*) AS n_samples FROM scores"""
 
 
+def _rounded(value: str) -> str:
+    """Six digits, and zero without a sign."""
+    return f"CASE WHEN round({value}, 6) = 0 THEN 0::DOUBLE ELSE round({value}, 6) END"
+
+
 _RATE = "count(*) FILTER (WHERE is_anomaly) / count(*)"
 _ID = "claim_id, patient_id, hospital_id, service_ts"
 _BASELINE = "hosp_avg_billed, hosp_min_billed, hosp_max_billed, hosp_stddev_billed, hosp_claim_count"
@@ -424,13 +429,13 @@ FROM event_features""",
         ),
         "feature_stats": _over(
             "features",
-            """SELECT round(avg(amount_to_avg_ratio), 6) AS avg_ratio, min(amount_to_avg_ratio) AS min_ratio,
-       max(amount_to_avg_ratio) AS max_ratio, round(avg(amount_z_score), 6) AS avg_z_score FROM features""",
+            f"""SELECT {_rounded("avg(amount_to_avg_ratio)")} AS avg_ratio, min(amount_to_avg_ratio) AS min_ratio,
+       max(amount_to_avg_ratio) AS max_ratio, {_rounded("avg(amount_z_score)")} AS avg_z_score FROM features""",
         ),
         "standardize": _over(
             "placed",
-            f"""SELECT {_ID}, billed_amount, round(x0, 6) AS std_billed_amount, round(x1, 6) AS std_hosp_avg_billed,
-       round(x2, 6) AS std_amount_to_avg_ratio FROM placed""",
+            f"""SELECT {_ID}, billed_amount, {_rounded("x0")} AS std_billed_amount,
+       {_rounded("x1")} AS std_hosp_avg_billed, {_rounded("x2")} AS std_amount_to_avg_ratio FROM placed""",
         ),
         "assign_fixed_centroids": _over(
             "tail",

@@ -87,12 +87,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def publish(staged: DataFrame, folder: str, table: str, fmt: str = "parquet") -> None:
     """Make an already written folder the content of a catalog table without copying a row."""
-    catalog = staged.sparkSession.catalog
-    if catalog.tableExists(table):
-        staged.sparkSession.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-        catalog.refreshTable(table)
-    else:
-        catalog.createTable(table, path=folder, source=fmt, schema=staged.schema)
+    spark = staged.sparkSession
+    if spark.catalog.tableExists(table):
+        if spark.table(table).dtypes == staged.dtypes:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=folder, source=fmt, schema=staged.schema)
 
 
 def key_count_at_most(df: DataFrame, key: str, limit: int) -> bool:

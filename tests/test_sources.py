@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from claimsieve.params import BAD_CODES, DIAGNOSIS_CODES
+from claimsieve.session import cluster_settings
 from claimsieve.sources import claims, tables
 
 
@@ -101,6 +102,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert tables.stage(spark.range(5), "five").count() == 5
 
 
+def test_publishing_follows_the_schema(spark, sample):
+    for i, df in enumerate((sample, sample.limit(2), sample.withColumn("more", F.lit(1)))):
+        folder = tables.new_folder(spark, "version")
+        df.write.parquet(folder)
+        tables.publish(spark.read.parquet(folder), folder, "published")
+        got = spark.table("published")
+        assert got.columns == df.columns and got.count() == df.count()
+
+
+def test_cluster_sizes():
+    big = cluster_settings(100 << 40, 4000)
+    assert big["spark.sql.shuffle.partitions"] == str(100 << 10)
+    assert cluster_settings(1, 16)["spark.sql.shuffle.partitions"] == "32"
+
+
 def test_key_count(spark):
     assert tables.key_count_at_most(spark.range(1000), "id", 5000)
     assert not tables.key_count_at_most(spark.range(1000), "id", 500)
