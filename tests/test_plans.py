@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from claimsieve.operators import cleansing, scoring
 from claimsieve.operators import features as feat
@@ -102,8 +103,6 @@ def test_adaptive_execution_is_on(spark):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_a_hot_provider_with_copies_keeps_every_row(spark, small):
-    from pyspark.sql import functions as F
-
     rows = spark.range(0, 60_000, numPartitions=8)
     df = rows.select(
         F.concat(F.lit("C"), F.col("id") % 50_000).alias("claim_id"),
@@ -119,3 +118,38 @@ def test_a_hot_provider_with_copies_keeps_every_row(spark, small):
     hot = built.filter("hospital_id = 'HOT'").select("hosp_claim_count").distinct().collect()
     assert [r[0] for r in hot] == [df.filter("hospital_id = 'HOT'").distinct().count()]
     assert built.filter("hospital_id IS NULL AND hosp_avg_billed IS NOT NULL").isEmpty()
+
+
+def test_a_hot_provider_is_split_when_the_baseline_is_not_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    rows = spark.range(0, 120_000, numPartitions=8)
+    df = rows.select(
+        F.sha2(F.col("id").cast("string"), 256).alias("claim_id"),
+        F.lit("P").alias("patient_id"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("H"), F.col("id") % 997)).alias("hospital_id"),
+        F.lit("I10").alias("diagnosis_code"),
+        (F.col("id") % 40_000 / 100).alias("billed_amount"),
+        F.lit("PENDING").alias("claim_status"),
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        built = feat.features(cleansing.cleanse(df), small=False).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("hosp_claim_count").alias("s"), F.max("claim_id").alias("wide")
+        )
+        plan = final_plan(built)
+        row = built.first()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "SortMergeJoin(skew=true)" in plan
+    want = df.groupBy("hospital_id").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+    assert (row.n, row.s) == (120_000, want)
