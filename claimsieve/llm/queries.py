@@ -159,7 +159,7 @@ def _op8(templates=license_scan.TEMPLATES, how: license_scan.Scan = license_scan
 WITH t(template, license, notice, part, parts, width, stride) AS (VALUES {", ".join(rows)}),
 d AS (
   SELECT doc_id, row_number() OVER () AS row,
-         list_filter(string_split(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), x -> x <> '') AS ws
+         list_filter(string_split(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws
   FROM documents),
 p AS (SELECT doc_id, row, ws, unnest(range(0, len(ws) - 4)) AS spot FROM d WHERE len(ws) > 4),
 hit AS (

@@ -12,8 +12,6 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,58 +167,3 @@ def silhouette_squared(
     )
     mean = F.try_divide(F.sum(score * F.col("w")), F.sum("w"))
     return measured.agg(mean.alias("silhouette_sq"), F.sum("w").alias("n_samples"))
-
-
-def silhouette_euclidean(
-    assigned: DataFrame, model: Centroids, label: str = CLUSTER, reference_rows: int = 500
-) -> DataFrame:
-    """Mean silhouette under plain Euclidean distance.
-
-    Plain distances have no closed form, and all pairs of n rows is n^2 work. Every row is
-    scored against at most ``reference_rows`` rows of each cluster, drawn by a hash of the
-    coordinates; the result is exact while each cluster has no more rows than that, and an
-    unbiased estimate of every mean distance beyond. The reference is k * reference_rows points
-    whatever the size of the data; rows stay in their partitions (one mapInPandas, no shuffle).
-    """
-    axes = [coordinate(c) for c in model.columns]
-    points = assigned.select(*[F.col(a).cast("double") for a in axes], F.col(label).cast("int").alias("_c"))
-    sizes = {r["_c"]: r["n"] for r in points.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # With rows that repeat, the hash alone would draw all copies of a point or none of them.
-    salted = points.withColumn("_h", F.xxhash64(*axes, F.monotonically_increasing_id()))
-    drawn = {
-        j: np.array(
-            [tuple(r) for r in salted.filter(F.col("_c") == j).orderBy("_h").limit(reference_rows).select(*axes).collect()]
-        )
-        for j in sorted(sizes)
-    }
-    single = len(drawn) < 2
-
-    def score(batches):
-        for batch in batches:
-            if batch.empty:
-                continue
-            xyz, own = batch[axes].to_numpy(), batch["_c"].to_numpy()
-            mean_to = {}
-            for j, ref in drawn.items():
-                step = max(1, 1_000_000 // len(ref))
-                blocks = [xyz[i : i + step] for i in range(0, len(xyz), step)]
-                mean_to[j] = np.concatenate(
-                    [np.sqrt(((block[:, None, :] - ref[None, :, :]) ** 2).sum(axis=2)).mean(axis=1) for block in blocks]
-                )
-            a, b = np.zeros(len(xyz)), np.full(len(xyz), np.inf)
-            lonely = np.zeros(len(xyz), dtype=bool)
-            for j, mean in mean_to.items():
-                mine = own == j
-                size = sizes[j]
-                lonely |= mine & (size == 1)
-                # The row itself, at distance 0, is one of the rows drawn from; it does not count.
-                a[mine] = mean[mine] * (size / (size - 1) if size > 1 else 0.0)
-                b[~mine] = np.minimum(b[~mine], mean[~mine])
-            top = np.maximum(a, b)
-            s = np.divide(b - a, top, out=np.zeros(len(xyz)), where=top > 0)
-            s[lonely] = 0.0
-            yield pd.DataFrame({"total": [float(s.sum())], "n": [len(s)]})
-
-    sums = points.mapInPandas(score, "total double, n bigint")
-    mean = F.try_divide(F.sum("total"), F.sum("n"))
-    return sums.agg((F.lit(None).cast("double") if single else mean).alias("silhouette"), F.sum("n").alias("n_samples"))

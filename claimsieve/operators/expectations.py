@@ -96,41 +96,52 @@ def suite_for(layer: str, params: Params = DEFAULTS, cols: Columns = CLAIMS, com
 
 def evaluate(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per check, in order. Checks on missing columns are left out: the schema row has failed."""
-    missing = sorted(set(suite.required) - set(df.columns))
-    checks = [c for c in suite.checks if set(c.needs) <= set(df.columns)]
+    return evaluate_all(df, {0: suite}).drop("suite_no")
+
+
+def evaluate_all(df: DataFrame, suites: dict[int, Suite]) -> DataFrame:
+    """The checks of several suites over one table, all counted in one aggregation."""
+    held = set(df.columns)
     n = F.col("_n")
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(c.violation).alias(f"_v{i}") for i, c in enumerate(checks)]
-    )
+    hits = {
+        f"_v{no}_{i}": F.count_if(c.violation)
+        for no, suite in suites.items()
+        for i, c in enumerate(suite.checks)
+        if set(c.needs) <= held
+    }
+    counted = df.agg(F.count(F.lit(1)).alias("_n"), *[hit.alias(name) for name, hit in hits.items()])
+    structs = [row for no, suite in suites.items() for row in _result_rows(no, suite, held, n, hits)]
+    return counted.select(F.inline(F.array(*structs)))
+
+
+def _result_rows(no: int, suite: Suite, held: set[str], n: Column, hits: dict[str, Column]) -> list[Column]:
+    missing = sorted(set(suite.required) - held)
     rows: list[tuple[str, Column, Column, Column]] = []
     if suite.check_not_empty:
-        rows.append(
-            (
-                "non_empty_table",
-                F.when(n > 0, PASSED).otherwise(FAILED),
-                F.concat(n.cast("string"), F.lit(" records")),
-                F.when(n > 0, 0).otherwise(1),
-            )
-        )
+        filled = n > 0
+        text = F.concat(n.cast("string"), F.lit(" records"))
+        rows.append(("non_empty_table", F.when(filled, PASSED).otherwise(FAILED), text, F.when(filled, 0).otherwise(1)))
     schema_text = "missing: " + ", ".join(missing) if missing else "all columns present"
     rows.append((suite.required_name, F.lit(FAILED if missing else PASSED), F.lit(schema_text), F.lit(len(missing))))
-    for i, c in enumerate(checks):
-        hits = F.col(f"_v{i}")
-        ok = hits == 0 if c.tolerance is None else hits < n * F.lit(c.tolerance)
-        text = F.concat(hits.cast("string"), F.lit(" of "), n.cast("string"), F.lit(" records"))
-        rows.append((c.name, F.when(ok, PASSED).otherwise(c.severity), text, hits))
-    structs = [
+    for i, c in enumerate(suite.checks):
+        if f"_v{no}_{i}" not in hits:
+            continue
+        hit = F.col(f"_v{no}_{i}")
+        ok = hit == 0 if c.tolerance is None else hit < n * F.lit(c.tolerance)
+        text = F.concat(hit.cast("string"), F.lit(" of "), n.cast("string"), F.lit(" records"))
+        rows.append((c.name, F.when(ok, PASSED).otherwise(c.severity), text, hit))
+    return [
         F.struct(
+            F.lit(no).alias("suite_no"),
             F.lit(i).alias("check_no"),
             F.lit(name).alias("expectation_name"),
             status.alias("status"),
             text.alias("message"),
             n.alias("record_count"),
-            hits.cast("bigint").alias("violations"),
+            found.cast("bigint").alias("violations"),
         )
-        for i, (name, status, text, hits) in enumerate(rows, start=1)
+        for i, (name, status, text, found) in enumerate(rows, start=1)
     ]
-    return counted.select(F.inline(F.array(*structs)))
 
 
 def _single(spark: SparkSession, name: str, status: str, message: str) -> DataFrame:
@@ -165,6 +176,23 @@ def check_layer(
     return results.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), *RESULT_COLUMNS)
 
 
+def check_layers(
+    df: DataFrame, layers: Sequence[tuple[str, str]], params: Params = DEFAULTS, cols: Columns = CLAIMS
+) -> DataFrame:
+    """Results of several known layers' suites, (layer, table name) each, over one table in one aggregation.
+
+    A table that carries another layer's rows and columns unchanged can answer for both.
+    """
+    suites = {no: suite_for(layer, params, cols) for no, (layer, _) in enumerate(layers)}
+    unknown = [layers[no][0] for no, suite in suites.items() if suite is None]
+    if unknown:
+        raise ValueError("no checks for layers " + ", ".join(unknown))
+    which = F.col("suite_no") + 1
+    names = [F.element_at(F.array(*[F.lit(pair[i]) for pair in layers]), which) for i in (0, 1)]
+    found = evaluate_all(df, suites)
+    return found.select(names[0].alias("layer"), names[1].alias("table_name"), *RESULT_COLUMNS)
+
+
 def validate_table(
     spark: SparkSession, table: str, layer: str, params: Params = DEFAULTS, cols: Columns = CLAIMS
 ) -> DataFrame:

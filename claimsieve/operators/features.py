@@ -37,7 +37,7 @@ def provider_baseline(df: DataFrame, cols: Columns = CLAIMS, scale: int | None =
     moments = df.groupBy(cols.provider).agg(
         F.count(amount).alias("_n"),
         F.sum(units).alias("_s"),
-        F.sum((units * units).cast("decimal(19,0)")).alias("_q"),
+        F.sum(units.cast("decimal(19,0)") * units.cast("decimal(19,0)")).alias("_q"),
         *edges,
     )
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")

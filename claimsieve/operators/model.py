@@ -1,120 +1,225 @@
-"""K-means with Spark ML: fit, evaluate, save, load."""
+"""K-means on whole numbers: fit, evaluate, save, load.
+
+Features become whole units, their moments exact sums, and the standardised values points of a
+whole-numbered grid. Starts are drawn by a mix of the point itself, distances and cost are whole
+numbers and new centres are rounded quotients of whole sums. Nothing depends on how rows are
+partitioned or in which order they are added.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsieve.operators.cleansing import drop_incomplete
 from claimsieve.operators.clusters import CLUSTER, Centroids, assign, inertia, silhouette_squared
 from claimsieve.params import DEFAULTS, Params
-from claimsieve.sources.tables import stage
 
 WEIGHT = "n_rows"
+#: Features are counted in thousandths, standardised values in 4096ths of a deviation.
+UNITS = 1000
+GRID = 4096
+#: Every start has its own salt; every second one takes the point with the highest ratio as its last centre.
+STARTS = 6
+_MODULUS = (1 << 31) - 1
+_FACTORS = (73_856_093, 19_349_663, 83_492_791)
+_SALT = 15_485_863
+
+Centers = tuple[tuple[int, ...], ...]
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """A fitted pipeline (with its scale) and the distinct points it was trained on."""
+    """Centres with their scale, the distinct points they were trained on, and the rows those stand for."""
 
-    pipeline: PipelineModel
     centroids: Centroids
     points: DataFrame
     n_samples: int
 
+    @property
+    def pipeline(self) -> PipelineModel:
+        return PipelineModel([scoring_stage(self.centroids)])
+
+    def release(self) -> None:
+        """Give the memory of the points back; they can still be read, from the rows again."""
+        self.points.unpersist()
+
+
+def _unit(c: str) -> str:
+    return f"_u_{c}"
+
 
 def distinct_points(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Equal feature rows as one weighted point.
+    """Equal feature rows, in whole units, as one weighted point.
 
     Amounts repeat, above all within a hot provider: a third of all rows in one provider is at
     most one point per distinct amount, which every pass of the fit then reads instead.
     """
-    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
+    units = [F.floor(F.col(c) * F.lit(float(UNITS)) + 0.5).cast("bigint").alias(_unit(c)) for c in columns]
+    counted = rows.select(*units).groupBy(*[_unit(c) for c in columns]).agg(F.count(F.lit(1)).alias(WEIGHT))
+    return counted.withColumns({c: F.col(_unit(c)).cast("double") / F.lit(float(UNITS)) for c in columns})
 
 
-def _scale(points: DataFrame, columns: tuple[str, ...]) -> tuple[int, tuple[float, ...], tuple[float, ...]]:
-    """Rows, means and population deviations of the weighted points: two rows reach the driver.
-
-    A column with one value has deviation 0, whatever the rounding of its mean.
-    """
-    w = F.col(WEIGHT).cast("double")
-    first = points.agg(
+def _moments(points: DataFrame, columns: tuple[str, ...]) -> tuple[int, tuple[float, ...], tuple[float, ...]]:
+    """Rows, means and population deviations in units, from exact sums: one row reaches the driver."""
+    w = F.col(WEIGHT).cast("decimal(19,0)")
+    sums = points.agg(
         F.sum(WEIGHT).alias("n"),
-        *[(F.sum(F.col(c) * w) / F.sum(w)).alias(f"mean_{c}") for c in columns],
-        *[(F.min(c) == F.max(c)).alias(f"flat_{c}") for c in columns],
+        *[F.sum((w * F.col(_unit(c)).cast("decimal(19,0)")).cast("decimal(38,0)")).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[
+            F.sum((w * (F.col(_unit(c)).cast("decimal(15,0)") * F.col(_unit(c)).cast("decimal(15,0)"))).cast("decimal(38,0)")).alias(f"q{i}")
+            for i, c in enumerate(columns)
+        ],
     ).first()
-    if not first["n"]:
+    n = int(sums["n"] or 0)
+    if not n:
         return 0, (), ()
-    means = tuple(first[f"mean_{c}"] for c in columns)
-    gaps = [F.col(c) - F.lit(m) for c, m in zip(columns, means)]
-    spread = points.agg(*[F.sqrt(F.sum(g * g * w) / F.sum(w)).alias(c) for c, g in zip(columns, gaps)]).first()
-    return first["n"], means, tuple(0.0 if first[f"flat_{c}"] else spread[c] for c in columns)
+    s, q = ([int(sums[f"{x}{i}"]) for i in range(len(columns))] for x in "sq")
+    means = tuple(float(a) / float(n) for a in s)
+    return n, means, tuple(math.sqrt(float(n * b - a * a)) / float(n) for a, b in zip(s, q))
 
 
-def _scaling_stage(columns: tuple[str, ...], means: tuple[float, ...], deviations: tuple[float, ...]) -> SQLTransformer:
-    def number(v: float) -> str:
-        return f"CAST('{v!r}' AS DOUBLE)"
-
-    scaled = ", ".join(
-        f"({c} - {number(m)}) / {number(s)} AS scaled_{c}" if s > 0 else f"{number(0.0)} AS scaled_{c}"
+def _grid(columns: tuple[str, ...], means: tuple[float, ...], deviations: tuple[float, ...]) -> list[Column]:
+    return [
+        F.floor((F.col(_unit(c)).cast("double") - F.lit(m)) / F.lit(s) * F.lit(float(GRID)) + 0.5).cast("bigint")
+        if s > 0
+        else F.lit(0).cast("bigint")
         for c, m, s in zip(columns, means, deviations)
-    )
-    return SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
+    ]
 
 
-def fit_pipeline(
-    points: DataFrame, means: tuple[float, ...], deviations: tuple[float, ...], params: Params = DEFAULTS
-) -> PipelineModel:
-    """Scale, assembler and k-means as one Spark ML pipeline. Only centres travel per iteration."""
-    columns = params.feature_columns
-    stages = [
-        _scaling_stage(columns, means, deviations),
-        VectorAssembler(inputCols=[f"scaled_{c}" for c in columns], outputCol="features"),
-        KMeans(
-            k=params.n_clusters,
-            seed=params.seed,
-            maxIter=params.max_iter,
-            tol=params.tol,
-            featuresCol="features",
-            predictionCol=CLUSTER,
-            weightCol=WEIGHT,
-        ),
+def draw(columns: list[Column], salt: int) -> Column:
+    """A number below 2^31 - 1 that mixes the units of a point with a salt."""
+    mixed = F.lit(salt * _SALT)
+    for i, c in enumerate(columns):
+        mixed = F.pmod(mixed + F.pmod(c, F.lit(_MODULUS)) * F.lit(_FACTORS[i % len(_FACTORS)] % _MODULUS), F.lit(_MODULUS))
+    return F.pmod(mixed * F.lit(48_271), F.lit(_MODULUS))
+
+
+def _starts(placed: DataFrame, columns: tuple[str, ...], params: Params) -> list[Centers]:
+    """The starting centres of every start: points with the smallest draws, from one aggregation."""
+    d, k = len(columns), params.n_clusters
+    units = [F.col(_unit(c)) for c in columns]
+    point = F.struct(*[F.col(f"x{i}") for i in range(d)])
+    ratio = columns.index(params.ratio_column) if params.ratio_column in columns else d - 1
+    furthest = F.max(F.struct(F.col(f"x{ratio}").alias("first"), point.alias("p")))["p"]
+    drawn = [
+        F.min(F.struct(draw(units, (params.seed + s) * k + j).alias("first"), point.alias("p")))["p"].alias(f"p{s}_{j}")
+        for s in range(STARTS)
+        for j in range(k)
+    ]
+    row = placed.agg(furthest.alias("far"), *drawn).first()
+    far = tuple(row["far"])
+    return [
+        tuple(far if s % 2 and j == k - 1 else tuple(row[f"p{s}_{j}"]) for j in range(k)) for s in range(STARTS)
+    ]
+
+
+def _pass(placed: DataFrame, starts: dict[int, Centers], d: int) -> dict[int, tuple[int, Centers]]:
+    """Cost under the centres, and the next centres, of every start: one aggregation, k * (d + 2) totals a start."""
+    spark = placed.sparkSession
+    k = len(next(iter(starts.values())))
+    names = [f"c{j}_{i}" for j in range(k) for i in range(d)]
+    rows = [(s, *[v for center in centers for v in center]) for s, centers in starts.items()]
+    table = spark.createDataFrame(rows, "s int, " + ", ".join(f"{n} bigint" for n in names))
+    # One value for the plan, so that its generated code is the same in every pass.
+    every = table.agg(F.collect_list(F.struct("s", *names))).scalar()
+    tried = placed.withColumn("_t", F.explode(every))
+    distances = [
+        F.struct(
+            sum(((F.col(f"x{i}") - F.col(f"_t.c{j}_{i}")) * (F.col(f"x{i}") - F.col(f"_t.c{j}_{i}")) for i in range(1, d)),
+                (F.col("x0") - F.col(f"_t.c{j}_0")) * (F.col("x0") - F.col(f"_t.c{j}_0"))).alias("d"),
+            F.lit(j).alias("j"),
+        )
+        for j in range(k)
     ]
-    return Pipeline(stages=stages).fit(points)
+    best = distances[0] if k == 1 else F.least(*distances)
+    w = F.col(WEIGHT).cast("decimal(19,0)")
+    # A drawn number of grid steps times a row count may leave 64 bits; whole decimals do not.
+    sums = tried.select("_t.s", best.alias("b"), w.alias("w"), *[f"x{i}" for i in range(d)]).groupBy("s", "b.j").agg(
+        F.sum("w").alias("n"),
+        F.sum((F.col("w") * F.col("b.d").cast("decimal(19,0)")).cast("decimal(38,0)")).alias("cost"),
+        *[F.sum((F.col("w") * F.col(f"x{i}").cast("decimal(19,0)")).cast("decimal(38,0)")).alias(f"s{i}") for i in range(d)],
+    )
+    cost, moved = dict.fromkeys(starts, 0), {s: list(c) for s, c in starts.items()}
+    for r in sums.collect():  # at most k rows a start
+        n = int(r["n"])
+        cost[r["s"]] += int(r["cost"])
+        moved[r["s"]][r["j"]] = tuple((2 * int(r[f"s{i}"]) + n) // (2 * n) for i in range(d))
+    return {s: (cost[s], tuple(moved[s])) for s in starts}
+
+
+def fit(placed: DataFrame, columns: tuple[str, ...], params: Params = DEFAULTS) -> Centers:
+    """The centres of the start with the lowest cost after all starts have come to rest, by rising ratio."""
+    d = len(columns)
+    now = dict(enumerate(_starts(placed, columns, params)))
+    done: dict[int, tuple[int, Centers]] = {}
+    for _ in range(params.max_iter):
+        after = _pass(placed, now, d)
+        done |= {s: (cost, now[s]) for s, (cost, centers) in after.items() if centers == now[s]}
+        now = {s: centers for s, (_, centers) in after.items() if s not in done}
+        if not now:
+            break
+    else:
+        done |= {s: (cost, now[s]) for s, (cost, _) in _pass(placed, now, d).items()}
+    _, best = min((cost, s) for s, (cost, _) in done.items())
+    ratio = columns.index(params.ratio_column) if params.ratio_column in columns else d - 1
+    return tuple(sorted(done[best][1], key=lambda c: (c[ratio], c)))
 
 
 def train(features: DataFrame, params: Params = DEFAULTS, min_rows: int = 1, complete: bool = False) -> Fitted:
-    """Complete rows -> weighted feature points, staged -> fit.
+    """Complete rows -> weighted points, kept in memory and on disk while the passes read them -> fit.
 
-    Fitting makes many passes. The points are written once to the shared folder, so no pass, and
-    no executor that is replaced, has to repeat the joins and shuffles before it. ``complete``
-    says that incomplete rows are gone already, and spares reading all columns to find them. Too
-    few rows raise ValueError.
+    ``complete`` says that incomplete rows are gone already, and spares reading all columns to find
+    them. Fewer than ``min_rows`` rows raise ValueError.
     """
-    rows = features if complete else drop_incomplete(features)
     columns = params.feature_columns
-    # In sorted partitions the seeded start of the fit sees the same order in every run.
-    points = stage(distinct_points(rows, columns).sortWithinPartitions(*columns), "training")
-    n, means, deviations = _scale(points, columns)
+    rows = features if complete else drop_incomplete(features)
+    points = distinct_points(rows, columns).persist()
+    n, means, deviations = _moments(points, columns)
     if n < max(min_rows, 1):
+        points.unpersist()
         raise ValueError(f"{n} complete rows are too few to train on (at least {max(min_rows, 1)})")
-    pipeline = fit_pipeline(points, means, deviations, params)
-    return Fitted(pipeline, centroids_of(pipeline, columns, means, deviations), points, n)
+    placed = points.withColumns({f"x{i}": x for i, x in enumerate(_grid(columns, means, deviations))})
+    centers = tuple(tuple(v / GRID for v in center) for center in fit(placed, columns, params))
+    scale = [tuple(v / UNITS for v in side) for side in (means, deviations)]
+    return Fitted(Centroids(columns, centers, *scale), points, n)
+
+
+@contextmanager
+def trained(features: DataFrame, params: Params = DEFAULTS, **settings) -> Iterator[Fitted]:
+    """A fit whose points are released at the end."""
+    fitted = train(features, params, **settings)
+    try:
+        yield fitted
+    finally:
+        fitted.release()
+
 
+def scoring_stage(model: Centroids) -> SQLTransformer:
+    """Nearest centre as one SQL stage, for users of Spark ML pipelines."""
 
-def centroids_of(
-    pipeline: PipelineModel, columns: tuple[str, ...], means: tuple[float, ...], deviations: tuple[float, ...]
-) -> Centroids:
-    """The model as plain numbers (k x d), for scoring by expressions."""
-    centers = tuple(tuple(float(v) for v in center) for center in pipeline.stages[-1].clusterCenters())
-    return Centroids(tuple(columns), centers, tuple(means), tuple(deviations))
+    def number(v: float) -> str:
+        return f"CAST('{v!r}' AS DOUBLE)"
+
+    def square(j: int) -> str:
+        terms = []
+        for c, m, s, v in zip(model.columns, model.means, model.deviations, model.centers[j]):
+            x = f"({c} - {number(m)}) / {number(s)}" if s > 0 else number(0.0)
+            terms.append(f"power({x} - {number(v)}, 2)")
+        return "(" + " + ".join(terms) + ")"
+
+    nearest = ", ".join(f"named_struct('d', {square(j)}, 'j', {j})" for j in range(model.k))
+    chosen = f"least({nearest})" if model.k > 1 else nearest
+    return SQLTransformer(statement=f"SELECT *, {chosen}.j AS {CLUSTER} FROM __THIS__")
 
 
 def evaluate(fitted: Fitted) -> DataFrame:
@@ -146,24 +251,32 @@ def centers_frame(fitted: Fitted, spark: SparkSession) -> DataFrame:
 
 
 def save(fitted: Fitted, path: str) -> None:
-    """Store the pipeline and the scale it was trained with."""
+    """Store the centres with the scale they were trained with, and the pipeline for other users."""
     fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
     c = fitted.centroids
-    spark = fitted.points.sparkSession
-    scale = spark.createDataFrame(
-        [(list(c.columns), list(c.means), list(c.deviations), fitted.n_samples)],
-        "columns array<string>, means array<double>, deviations array<double>, n_samples bigint",
+    row = [(list(c.columns), [list(x) for x in c.centers], list(c.means), list(c.deviations), fitted.n_samples)]
+    stored = fitted.points.sparkSession.createDataFrame(
+        row,
+        "columns array<string>, centers array<array<double>>, means array<double>, deviations array<double>, n_samples bigint",
     )
-    scale.coalesce(1).write.mode("overwrite").parquet(f"{path}/scale")
+    stored.coalesce(1).write.mode("overwrite").parquet(f"{path}/centers")
 
 
 def load(spark: SparkSession, *paths: str) -> tuple[PipelineModel, Centroids]:
-    """The model of the first path that holds one (for example production, then staging)."""
+    """The model of the first path that exists (for example production, then staging).
+
+    A path that exists but cannot be read raises: another model must not silently take its place.
+    """
     for path in paths:
         try:
-            scale = spark.read.parquet(f"{path}/scale").first()
-            pipeline = PipelineModel.load(f"{path}/pipeline")
-        except (AnalysisException, Py4JJavaError):
+            stored = spark.read.parquet(f"{path}/centers")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
-        return pipeline, centroids_of(pipeline, tuple(scale["columns"]), tuple(scale["means"]), tuple(scale["deviations"]))
+        row = stored.first()
+        sides = (tuple(map(tuple, row["centers"])), tuple(row["means"]), tuple(row["deviations"]))
+        return PipelineModel.load(f"{path}/pipeline"), Centroids(tuple(row["columns"]), *sides)
     raise ValueError("no model at " + ", ".join(paths))
+
+

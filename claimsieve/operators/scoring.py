@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimsieve.functions import scores
-from claimsieve.operators.cleansing import drop_incomplete
+from claimsieve.operators.cleansing import drop_incomplete, violation_rows
 from claimsieve.operators.clusters import CLUSTER, DISTANCE, Centroids, anomaly_cluster, assign
 from claimsieve.params import DEFAULTS, Params
 
@@ -53,3 +53,19 @@ def gold(
     centroids = model.without_scale() if refit_scale else model
     rows = features if complete else drop_incomplete(features)
     return rows.transform(assign, centroids).drop(DISTANCE).transform(score_assigned, params)
+
+
+def gold_checks(scored: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The gate of the gold layer: every row has a cluster, a flag and a level that agree with each other."""
+    flag, ratio, confidence = F.col(FLAG), F.col(RATIO), F.col(CONFIDENCE)
+    flagged_level = F.col(LEVEL).isin("HIGH", "MEDIUM", "LOW")
+    return violation_rows(
+        scored,
+        {
+            "no_cluster": F.col(CLUSTER).isNull(),
+            "no_flag": flag.isNull(),
+            "flag_without_ratio": flag & ~(ratio > params.anomaly_ratio_threshold),
+            "confidence_range": F.coalesce(~confidence.between(0.0, 1.0), F.lit(True)),
+            "level_against_flag": F.coalesce(flagged_level != flag, F.lit(True)),
+        },
+    )

@@ -7,8 +7,6 @@ from dataclasses import dataclass
 # The codes and bands that results must agree on.
 DIAGNOSIS_CODES = ("J01.90", "E11.9", "I10", "M54.5", "Z00.00", "R53.83")
 BAD_CODES = ("INVALID-CODE-999", "BAD-ICD", "")
-STATUS_WEIGHTS = (("PENDING", 0.3), ("APPROVED", 0.5), ("DENIED", 0.2))
-RISK_LEVELS = ("HIGH", "MEDIUM", "LOW", "REVIEW", "NORMAL")
 
 
 @dataclass(frozen=True)
@@ -31,9 +29,7 @@ CLAIMS = Columns()
 class Params:
     """Defaults of every rule. Pass ``dataclasses.replace(params, ...)`` to change one."""
 
-    num_records: int = 10_000
-    dirty_data_ratio: float = 0.10
-
+    # The rules' thresholds, which results must agree on.
     max_billed_amount: float = 50_000.0
     invalid_diagnosis_code: str = "INVALID-CODE-999"
     default_diagnosis_code: str = "UNKNOWN"
@@ -46,8 +42,9 @@ class Params:
     n_clusters: int = 3
     seed: int = 42
     max_iter: int = 300
-    tol: float = 1e-4
     feature_columns: tuple[str, ...] = ("billed_amount", "hosp_avg_billed", "amount_to_avg_ratio")
+    ratio_column: str = "amount_to_avg_ratio"
+    # Training needs more rows than this.
     min_training_rows: int = 1000
 
     anomaly_ratio_threshold: float = 1.1

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from claimsieve.operators import cleansing, expectations, model, scoring
 from claimsieve.operators import features as feature_ops
 from claimsieve.params import CLAIMS, DEFAULTS, Columns, Params
-from claimsieve.sources.tables import key_count_at_most, new_folder, publish, scan, write_layer
+from claimsieve.sources.tables import key_count_at_most, publish, replace_folder, scan, write_layer
 
 
 @dataclass(frozen=True)
@@ -31,17 +31,17 @@ class Layers:
 
 
 def store_checked(df: DataFrame, name: str, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Write, check, publish. ``check`` gives rows (name, violations, ok); any false one raises."""
+    """Write once, check, publish. ``check`` gives rows (name, violations, ok); any false one raises."""
     spark = df.sparkSession
     is_path = "/" in name
-    folder = new_folder(spark, "layer") if is_path else _version_folder(spark, name)
+    folder = f"{name.rstrip('/')}-{uuid.uuid4().hex}" if is_path else _version_folder(spark, name)
     df.write.parquet(folder)
     written = spark.read.schema(df.schema).parquet(folder)
     broken = [r["check_name"] for r in check(written).filter(~F.col("ok")).collect()]
     if broken:
         raise ValueError(f"{name} not written, failed checks: " + ", ".join(broken))
     if is_path:
-        write_layer(written, name)
+        replace_folder(spark, folder, name)
     else:
         publish(written, folder, name)
     return scan(spark, name)
@@ -68,9 +68,10 @@ def to_features(
 
 
 def to_model(spark: SparkSession, layers: Layers, model_path: str, params: Params = DEFAULTS) -> model.Fitted:
-    fitted = model.train(scan(spark, layers.features), params)
-    model.save(fitted, model_path)
-    write_layer(model.metrics_row(fitted, params), layers.metrics, overwrite=False)
+    """Fit, store the model, append its metrics. Needs more rows than ``params.min_training_rows``."""
+    with model.trained(scan(spark, layers.features), params, min_rows=params.min_training_rows + 1) as fitted:
+        model.save(fitted, model_path)
+        write_layer(model.metrics_row(fitted, params), layers.metrics, overwrite=False)
     return fitted
 
 
@@ -84,8 +85,7 @@ def to_gold(
     """Score the features with the first model found (for example production, then staging)."""
     _, centroids = model.load(spark, *model_paths)
     scored = scoring.gold(scan(spark, layers.features), centroids, params, refit_scale)
-    write_layer(scored, layers.gold)
-    return scan(spark, layers.gold)
+    return store_checked(scored, layers.gold, lambda df: scoring.gold_checks(df, params))
 
 
 def run(

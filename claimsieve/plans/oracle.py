@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimsieve.operators import model
 from claimsieve.params import DEFAULTS
 
 _CTES: dict[str, str] = {}
@@ -147,6 +148,101 @@ _CTES["gold_trained"] = _gold("trained_band", "worst_trained")
 _CTES["gold_tail"] = _gold("tail", "worst_tail")
 
 
+def _draw(salt: int) -> str:
+    """The mix of a point's units with a salt that picks the starts of a fit."""
+    m = model._MODULUS
+    mixed = str(salt * model._SALT)
+    for i, factor in enumerate(model._FACTORS):
+        mixed = f"(({mixed} + ((u{i} % {m} + {m}) % {m}) * {factor % m}) % {m})"
+    return f"(({mixed} * 48271) % {m})"
+
+
+def _starts(k: int) -> str:
+    far = "(SELECT x0, x1, x2 FROM grid ORDER BY x2 DESC, x0 DESC, x1 DESC LIMIT 1)"
+    parts = []
+    for s in range(model.STARTS):
+        for j in range(k):
+            drawn = f"(SELECT x0, x1, x2 FROM grid ORDER BY {_draw((DEFAULTS.seed + s) * k + j)}, x0, x1, x2 LIMIT 1)"
+            parts.append(f"SELECT {s} AS s, {j} AS j, * FROM {far if s % 2 and j == k - 1 else drawn}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _nearest(d: str = "d") -> str:
+    return f"CASE WHEN {d}0 <= {d}1 AND {d}0 <= {d}2 THEN 0 WHEN {d}1 <= {d}2 THEN 1 ELSE 2 END"
+
+
+_GRID_D = ", ".join(
+    f"(x0 - c{j}0) * (x0 - c{j}0) + (x1 - c{j}1) * (x1 - c{j}1) + (x2 - c{j}2) * (x2 - c{j}2) AS d{j}" for j in range(3)
+)
+_FLAT = ", ".join(f"max(CASE WHEN j = {j} THEN c{i} END) AS c{j}{i}" for j in range(3) for i in range(3))
+# Floored quotients of whole numbers: the remainder is taken with the sign of the divisor.
+_MOVED = ", ".join(f"CAST(((2 * a{i} + n) - (((2 * a{i} + n) % (2 * n)) + 2 * n) % (2 * n)) // (2 * n) AS BIGINT) AS c{i}" for i in range(3))
+_PASSES = 120
+
+_CTES["points"] = "SELECT " + ", ".join(
+    f"CAST(floor({c} * 1000::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS u{i}" for i, c in enumerate(_FEATURES)
+) + ", CAST(count(*) AS HUGEINT) AS w FROM complete GROUP BY ALL"
+_CTES["unit_moments"] = "SELECT " + ", ".join(
+    f"sum(w * u{i})::HUGEINT::DOUBLE / sum(w)::HUGEINT::DOUBLE AS um{i}, "
+    f"sqrt((sum(w)::HUGEINT * sum(w * u{i} * u{i})::HUGEINT - sum(w * u{i})::HUGEINT * sum(w * u{i})::HUGEINT)::DOUBLE)"
+    f" / sum(w)::HUGEINT::DOUBLE AS us{i}"
+    for i in range(3)
+) + " FROM points"
+_CTES["grid"] = "SELECT u0, u1, u2, w, " + ", ".join(
+    f"CASE WHEN us{i} > 0 THEN CAST(floor((u{i}::DOUBLE - um{i}) / us{i} * 4096::DOUBLE + 0.5::DOUBLE) AS BIGINT) ELSE 0 END AS x{i}"
+    for i in range(3)
+) + " FROM points, unit_moments"
+_CTES["starts"] = _starts(DEFAULTS.n_clusters)
+_CTES["fit"] = f"""
+SELECT 0 AS it, s, j, x0::BIGINT AS c0, x1::BIGINT AS c1, x2::BIGINT AS c2 FROM starts
+UNION ALL
+SELECT f.it + 1, f.s, f.j, coalesce(m.c0, f.c0), coalesce(m.c1, f.c1), coalesce(m.c2, f.c2)
+FROM fit f LEFT JOIN (
+  SELECT s, j, {_MOVED} FROM (
+    SELECT s, {_nearest()} AS j, sum(w)::HUGEINT AS n,
+           sum(w * x0)::HUGEINT AS a0, sum(w * x1)::HUGEINT AS a1, sum(w * x2)::HUGEINT AS a2
+    FROM (SELECT s, w, x0, x1, x2, {_GRID_D} FROM grid, (SELECT s, {_FLAT} FROM fit GROUP BY s)) GROUP BY ALL)) m
+  ON m.s = f.s AND m.j = f.j
+WHERE f.it < {_PASSES}"""
+_CTES["costs"] = f"""
+SELECT s, sum(w * least(d0, d1, d2))::HUGEINT AS cost
+FROM (SELECT s, w, {_GRID_D} FROM grid, (SELECT s, {_FLAT} FROM fit WHERE it = {_PASSES} GROUP BY s)) GROUP BY s"""
+_CTES["centers"] = f"""
+SELECT row_number() OVER (ORDER BY c2, c0, c1) - 1 AS j, c0 / 4096::DOUBLE AS c0, c1 / 4096::DOUBLE AS c1, c2 / 4096::DOUBLE AS c2
+FROM fit WHERE it = {_PASSES} AND s = (SELECT s FROM costs ORDER BY cost, s LIMIT 1)"""
+_CTES["fitted_scale"] = f"""
+SELECT {_FLAT}, {", ".join(f"any_value(um{i} / 1000::DOUBLE) AS m{i}, any_value(us{i} / 1000::DOUBLE) AS s{i}" for i in range(3))}
+FROM centers, unit_moments"""
+
+
+def _fitted(rows: str, columns: tuple[str, ...]) -> str:
+    """Rows placed on the fitted scale, with their nearest fitted centre."""
+    x = ", ".join(f"CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE 0::DOUBLE END AS x{i}" for i, c in enumerate(columns))
+    return f"""
+SELECT * EXCLUDE (c00, c01, c02, c10, c11, c12, c20, c21, c22), {_nearest()} AS cluster_prediction,
+       least(d0, d1, d2) AS squared_distance
+FROM (SELECT *, {_GRID_D}
+      FROM (SELECT r.*, {", ".join(f"c{j}{i}" for j in range(3) for i in range(3))}, {x} FROM {rows} r, fitted_scale))"""
+
+
+_CTES["fitted_rows"] = _fitted("complete", _FEATURES)
+_CTES["fitted_points"] = _fitted("points", tuple(f"u{i} / 1000::DOUBLE" for i in range(3)))
+_CTES["worst_fitted"] = _worst("fitted_rows")
+_CTES["gold_fitted"] = _gold("fitted_rows", "worst_fitted")
+_CTES["fitted_measures"] = """
+SELECT sum(w * CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) / sum(w) AS silhouette_sq,
+       (SELECT sum(w * squared_distance) FROM fitted_points) AS inertia, 3 AS n_clusters, CAST(sum(w) AS BIGINT) AS n_samples
+FROM (SELECT id, any_value(w) AS w, max(CASE WHEN j = cluster_prediction THEN n END) AS own_n,
+             max(CASE WHEN j = cluster_prediction AND n > 1 THEN d / (n - 1) END) AS a,
+             min(CASE WHEN j <> cluster_prediction THEN d / n END) AS b
+      FROM (SELECT p.id, p.w, p.cluster_prediction, t.j, t.n,
+                   greatest(t.n * (x0 * x0 + x1 * x1 + x2 * x2) - 2 * (x0 * a0 + x1 * a1 + x2 * a2) + q, 0) AS d
+            FROM (SELECT row_number() OVER () AS id, * FROM fitted_points) p,
+                 (SELECT cluster_prediction AS j, sum(w)::DOUBLE AS n, sum(w * x0) AS a0, sum(w * x1) AS a1, sum(w * x2) AS a2,
+                         sum(w * (x0 * x0 + x1 * x1 + x2 * x2)) AS q FROM fitted_points GROUP BY 1) t)
+      GROUP BY id)"""
+
+
 def _checks(layer: str, table: str, source: str, rules: list[tuple[str, str, str, str]], doubled: int = 0) -> str:
     """Expectation rows; a rule is (name, kind, predicate, severity)."""
     hits = ", ".join(f"count(*) FILTER (WHERE {p}) AS v{i}" for i, (_, k, p, _) in enumerate(rules) if k in ("row", "share"))
@@ -234,6 +330,19 @@ _NEEDS = {
     "trained_band": ("trained_placed",),
     "worst_trained": ("trained_band",),
     "gold_trained": ("worst_trained",),
+    "points": ("complete",),
+    "unit_moments": ("points",),
+    "grid": ("unit_moments",),
+    "starts": ("grid",),
+    "fit": ("starts",),
+    "costs": ("fit",),
+    "centers": ("costs",),
+    "fitted_scale": ("centers",),
+    "fitted_rows": ("fitted_scale",),
+    "fitted_points": ("fitted_scale",),
+    "worst_fitted": ("fitted_rows",),
+    "gold_fitted": ("worst_fitted",),
+    "fitted_measures": ("fitted_points",),
     "results": ("features",),
     "report": ("results",),
 }
@@ -248,8 +357,9 @@ def _closure(name: str) -> list[str]:
 
 def _over(name: str, body: str) -> str:
     """The query body after the CTEs it reads from."""
-    ctes = ",\n".join(f"{n} AS ({_CTES[n].strip()})" for n in _closure(name))
-    return f"WITH {ctes}\n{body}"
+    needed = _closure(name)
+    ctes = ",\n".join(f"{n} AS ({_CTES[n].strip()})" for n in needed)
+    return f"WITH {'RECURSIVE ' * ('fit' in needed)}{ctes}\n{body}"
 
 
 def _metrics(bad: str) -> str:
@@ -331,7 +441,7 @@ FROM (SELECT * FROM bronze UNION ALL SELECT * EXCLUDE (l_orderkey) FROM injected
             "bronze",
             """SELECT strftime(service_ts, '%Y-%m') AS claim_month, count(*) AS n_rows,
        CAST(sum(CAST(round(billed_amount * 100) AS BIGINT)) AS BIGINT) AS total_cents
-FROM bronze GROUP BY 1""",
+FROM bronze WHERE strftime(service_ts, '%Y-%m') BETWEEN '1995-03' AND '1995-05' GROUP BY 1""",
         ),
         "gold_sample": _over(
             "gold",
@@ -400,11 +510,7 @@ FROM (SELECT claim_id IS NOT NULL AND patient_id IS NOT NULL AND hospital_id IS
 FROM (SELECT *, coalesce(failed / nullif(total_checks, 0), 0::DOUBLE) AS share FROM report)""",
         ),
         "provider_baseline": _over("baseline", "SELECT * FROM baseline"),
-        "provider_baseline_events": """
-SELECT user_id, round(avg(value), 9) AS hosp_avg_billed, round(min(value), 9) AS hosp_min_billed,
-       round(max(value), 9) AS hosp_max_billed, round(stddev_samp(value), 9) AS hosp_stddev_billed,
-       count(event_id) AS hosp_claim_count
-FROM events GROUP BY user_id""",
+        "provider_baseline_events": _over("event_baseline", "SELECT * FROM event_baseline"),
         "provider_join": _over("baseline", "SELECT * FROM silver LEFT JOIN baseline USING (hospital_id)"),
         "provider_baseline_window": _over(
             "silver",
@@ -462,17 +568,6 @@ FROM tail GROUP BY 1""",
         "gold_trained_scale": _over("gold_trained", "SELECT * FROM gold_trained"),
         "gold_refit_scale": _over("gold", "SELECT * FROM gold"),
         "gold_events": _over("gold_event", "SELECT * FROM gold_event"),
-        "silhouette_euclidean_events": _over("event_band", "").rstrip()
-        + """
-, sizes AS (SELECT cluster_prediction AS j, count(*) AS n FROM event_band GROUP BY 1),
-gaps AS (SELECT a.event_id, a.cluster_prediction AS own, b.cluster_prediction AS j,
-                sum(sqrt((a.x0 - b.x0) ** 2 + (a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2)) AS d
-         FROM event_band a, event_band b GROUP BY 1, 2, 3),
-scores AS (SELECT event_id, max(CASE WHEN j = own THEN n END) AS own_n,
-                  max(CASE WHEN j = own AND n > 1 THEN d / (n - 1) END) AS a, min(CASE WHEN j <> own THEN d / n END) AS b
-           FROM gaps JOIN sizes USING (j) GROUP BY 1)
-SELECT round(avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END), 6) AS silhouette,
-       count(*) AS n_samples FROM scores""",
         "anomaly_summary": _over(
             "gold",
             """SELECT count(*) AS total_claims, count(*) FILTER (WHERE is_anomaly) AS anomalies,
@@ -533,6 +628,34 @@ FROM (SELECT b AS bronze_count, s AS silver_count, s / nullif(b, 0) AS kept
                 for c in _NULL_CHECKED
             ),
         ),
+        "kmeans_fit": _over(
+            "centers",
+            "SELECT CAST(j AS INTEGER) AS cluster_prediction, "
+            + ", ".join(f"c{i} AS std_{c}" for i, c in enumerate(_FEATURES))
+            + " FROM centers",
+        ),
+        "kmeans_assign": _over(
+            "fitted_rows",
+            f"SELECT {_ID}, billed_amount, cluster_prediction, round(squared_distance, 6) AS squared_distance FROM fitted_rows",
+        ),
+        "silhouette_sq_fitted": _over(
+            "fitted_measures", "SELECT round(silhouette_sq, 4) AS silhouette_sq, n_samples FROM fitted_measures"
+        ),
+        "silhouette_check": _over(
+            "fitted_measures",
+            """SELECT v AS silhouette, v > 0.5::DOUBLE AS on_target, v < 0.3::DOUBLE AS alert
+FROM (SELECT round(silhouette_sq, 4) AS v FROM fitted_measures)""",
+        ),
+        "train_metrics": _over(
+            "fitted_measures",
+            "SELECT * REPLACE (round(silhouette_sq, 4) AS silhouette_sq, round(inertia, 4) AS inertia) FROM fitted_measures",
+        ),
+        "model_metrics": _over(
+            "fitted_measures",
+            f"""SELECT 'k-means' AS algorithm, {DEFAULTS.seed} AS seed, '{",".join(_FEATURES)}' AS features,
+       * REPLACE (round(silhouette_sq, 4) AS silhouette_sq, round(inertia, 4) AS inertia) FROM fitted_measures""",
+        ),
+        "gold_anomalies": _over("gold_fitted", "SELECT * FROM gold_fitted"),
         "stream_silver": _over("silver", "SELECT * FROM silver"),
         "stream_gold": _over("gold", "SELECT * FROM gold"),
         "silhouette_check_fixed": (

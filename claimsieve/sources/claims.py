@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimsieve.functions.keys import hashed_draw, padded_id, prefixed_id
 from claimsieve.functions.money import from_minor_units, minor_units
-from claimsieve.params import BAD_CODES, CLAIMS, DEFAULTS, DIAGNOSIS_CODES, STATUS_WEIGHTS, Columns, Params
+from claimsieve.params import BAD_CODES, CLAIMS, DIAGNOSIS_CODES, Columns
 
 CLAIM_SCHEMA = T.StructType(
     [
@@ -56,55 +56,15 @@ def inject_defects(
     decide which rows are hit. One projection: no shuffle, repeatable after a task is lost.
     """
     units = minor_units(F.col(amount))
-    broken = (
-        F.when(kind == NEGATIVE, -units).when(kind == EXTREME, units * 100).when(kind == ZERO, F.lit(0)).otherwise(units)
-    )
+    broken = F.when(kind == NEGATIVE, -units).when(kind == EXTREME, units * 100).when(kind == ZERO, F.lit(0))
     return df.withColumns(
         {
             code: F.when(kind < _KINDS, bad_code).otherwise(F.col(code)),
-            amount: from_minor_units(broken),
+            amount: F.when(kind < _KINDS, from_minor_units(broken)).otherwise(F.col(amount)),
         }
     )
 
 
-def synthetic_claims(
-    spark: SparkSession,
-    num_records: int | None = None,
-    dirty_ratio: float | None = None,
-    seed: int = DEFAULTS.seed,
-    params: Params = DEFAULTS,
-) -> DataFrame:
-    """Made-up claims of any size, drawn on the executors from hashes of the row number.
-
-    An explicit 0 is honoured; only ``None`` means the default.
-    """
-    n = params.num_records if num_records is None else num_records
-    ratio = params.dirty_data_ratio if dirty_ratio is None else dirty_ratio
-    i = F.col("id")
-
-    def draw(size: int, salt: int) -> Column:
-        return hashed_draw(size, seed + salt, i)
-
-    def pick(values: tuple[str, ...], salt: int) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (draw(len(values), salt) + 1).cast("int"))
-
-    chance = draw(100, 5)
-    (first, w1), (second, w2), (third, _) = STATUS_WEIGHTS
-    clean = spark.range(n).select(
-        i,
-        padded_id("CLM", i, 8).alias("claim_id"),
-        padded_id("PAT", draw(5000, 1) + 1, 5).alias("patient_id"),
-        padded_id("HOSP", draw(10, 2) + 1, 3).alias("hospital_id"),
-        pick(DIAGNOSIS_CODES, 3).alias("diagnosis_code"),
-        from_minor_units(draw(490_001, 4) + 10_000).alias("billed_amount"),
-        F.when(chance < round(100 * w1), first).when(chance < round(100 * (w1 + w2)), second).otherwise(third).alias(
-            "claim_status"
-        ),
-    )
-    dirty = inject_defects(clean, hashed_kind(ratio, seed + 10, i), pick(BAD_CODES, 20))
-    return conform(dirty)
-
-
 def claims_from_line_items(line_items: DataFrame, orders: DataFrame, cols: Columns = CLAIMS) -> DataFrame:
     """Bronze claims over order lines: supplier = hospital, customer = patient, price / 20 = bill.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from pathlib import PurePath
 
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def full_table_name(table: str, database: str | None = None, catalog: str = "spark_catalog", schema: str = "default") -> str:
@@ -55,19 +54,9 @@ def write_layer(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster.
-
-    Only a local session without the setting gets a folder of its own.
-    """
+    """The folder all executors can reach: the checkpoint folder, or else a folder of the warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="claimsieve-")
-    return _local_folders[app]
+    return folder.rstrip("/") if folder else f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_stages"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -86,15 +75,45 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def publish(staged: DataFrame, folder: str, table: str, fmt: str = "parquet") -> None:
-    """Make an already written folder the content of a catalog table without copying a row."""
+    """Make an already written folder the content of a catalog table without copying a row.
+
+    With changed columns a new table takes the name. The old one is set aside until then and comes
+    back if that fails.
+    """
     spark = staged.sparkSession
-    if spark.catalog.tableExists(table):
-        if spark.table(table).dtypes == staged.dtypes:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-            spark.catalog.refreshTable(table)
-            return
-        spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, path=folder, source=fmt, schema=staged.schema)
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=folder, source=fmt, schema=staged.schema)
+        return
+    if spark.table(table).dtypes == staged.dtypes:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+        return
+    fresh = f"{table}_{uuid.uuid4().hex}"
+    spare = f"{table}_old_{uuid.uuid4().hex}"
+    spark.catalog.createTable(fresh, path=folder, source=fmt, schema=staged.schema)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {spare}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {spare} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {spare}")
+
+
+def replace_folder(spark: SparkSession, folder: str, target: str) -> None:
+    """Give a written folder the name of a layer; what was there is set aside until the new one is in place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    spare = path(f"{target.rstrip('/')}-{uuid.uuid4().hex}")
+    had = files.exists(path(target))
+    if had and not files.rename(path(target), spare):
+        raise OSError(f"{target} cannot be set aside")
+    if not files.rename(path(folder), path(target)):
+        if had:
+            files.rename(spare, path(target))
+        raise OSError(f"{target} cannot be replaced")
+    if had:
+        files.delete(spare, True)
 
 
 def key_count_at_most(df: DataFrame, key: str, limit: int) -> bool:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +12,10 @@ from claimsieve.operators import cleansing, scoring
 from claimsieve.operators import features as feat
 from claimsieve.operators.clusters import CLUSTER, DISTANCE, Centroids, assign
 from claimsieve.params import CLAIMS, DEFAULTS, Columns, Params
+from claimsieve.sources.tables import write_layer
+
+#: The digest of the raw record, and its day, by which the target is partitioned.
+RECORD, DAY = "_record", "_day"
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -22,25 +26,25 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, files_per
     return reader.parquet(folder)
 
 
-def clean_stream(
-    records: DataFrame, lateness: str, params: Params = DEFAULTS, cols: Columns = CLAIMS
-) -> DataFrame:
-    """Every distinct record once, cleansed, when the watermark has passed its event time.
+def record_key(columns: list[tuple[str, str]]) -> Column:
+    """A digest of all columns of a raw record; equal for rows that a de-duplication takes as equal."""
+    same_zero = [(F.col(c) + F.lit(0.0)).alias(c) if kind == "double" else F.col(c) for c, kind in columns]
+    return F.sha2(F.to_json(F.struct(*same_zero), {"ignoreNullFields": "false"}), 256)
+
 
-    The exact de-duplication is a streaming aggregation over all columns: copies are combined in
-    the map tasks first, so a record delivered millions of times sends one row per task, and the
-    state of closed event times is dropped. The filters run before it, on the files.
+def clean_stream(records: DataFrame, params: Params = DEFAULTS, cols: Columns = CLAIMS) -> DataFrame:
+    """Cleansed records with the digest of the raw one and its day; copies are left to ``write_new``.
+
+    No state and no watermark: a file that arrives late loses nothing.
     """
     cap = F.lit(float(params.max_billed_amount))
-    kept = (
-        cleansing.drop_invalid_code(records, params.invalid_diagnosis_code, cols.code)
-        .filter((F.col(cols.amount) > -cap) & (F.col(cols.amount) < cap))
-        .withColumn("_event", F.col(cols.event_time).cast("timestamp"))
-        .withWatermark("_event", lateness)
+    kept = cleansing.drop_invalid_code(records, params.invalid_diagnosis_code, cols.code).filter(
+        (F.col(cols.amount) > -cap) & (F.col(cols.amount) < cap)
     )
-    distinct = kept.groupBy("_event", *records.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    day = F.coalesce(F.date_format(cols.event_time, "yyyy-MM-dd"), F.lit("none"))
     return (
-        distinct.select(*records.columns)
+        kept.withColumn(RECORD, record_key(records.dtypes))
+        .withColumn(DAY, day)
         .transform(cleansing.impute_code, params.default_diagnosis_code, cols.code)
         .transform(cleansing.absolute_amounts, cols.amount)
     )
@@ -81,13 +85,42 @@ def score_stream(
     )
 
 
-def write_available(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, append it to ``target`` exactly once, stop."""
+def write_new(stream: DataFrame, target: str, progress: str) -> StreamingQuery:
+    """Process what has arrived, append every raw record to ``target`` once, stop.
+
+    A batch is compared with the stored records of its own days only: the target is partitioned by
+    day, so the comparison reads those folders and two columns. Copies that arrive in any order, in
+    any number of runs, are found; a repeated batch appends nothing.
+    """
+    schema = stream.schema
+
+    def append(batch: DataFrame, _: int) -> None:
+        batch = batch.dropDuplicates([RECORD, DAY]).persist()
+        try:
+            days = [r[0] for r in batch.select(DAY).distinct().collect()]  # of one batch
+            new = batch
+            if days and _exists(batch.sparkSession, target):
+                stored = read_target(batch.sparkSession, target, schema, keep=True).filter(F.col(DAY).isin(days))
+                new = batch.join(stored.select(RECORD, DAY), [RECORD, DAY], "left_anti")
+            if days:
+                write_layer(new.select(*schema.names), target, overwrite=False, partition_by=(DAY,))
+        finally:
+            batch.unpersist()
+
     return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(append)
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def read_target(spark: SparkSession, target: str, schema: T.StructType, keep: bool = False) -> DataFrame:
+    """The stored records, without the digest and the day unless ``keep``."""
+    stored = spark.read.schema(schema).parquet(target).select(*schema.names)
+    return stored if keep else stored.drop(RECORD, DAY)
