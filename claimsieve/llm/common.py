@@ -88,22 +88,24 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(text, F.lit(""))).alias(KEY)
 
 
-def keep_rows(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_rows(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              once: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose verdict (doc_id, text hash, kept) says so.
 
-    What goes is looked up, for it is the smaller part. Of several rows with one id and text that
-    count as one, one row stays.
+    What goes is looked up, for it is the smaller part. Of several rows with one id and text, one
+    row stays if their verdicts differ, or always with ``once``.
     """
     per_row = verdicts.groupBy(F.col("doc_id").alias("_id"), KEY).agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"), F.count_if("kept").alias("kept_rows")
     )
-    per_row = stored(per_row.where("not kept or kept_rows < rows"), "verdicts")
+    several = F.col("rows") > (1 if once else F.col("kept_rows"))
+    per_row = stored(per_row.where(~F.col("kept") | several), "verdicts")
     keyed = docs.withColumn(KEY, text_key(text_col))
     same = [docs[id_col].eqNullSafe(F.col("_id")), keyed[KEY] == F.col("_key")]
     gone = per_row.where("not kept").select("_id", F.col(KEY).alias("_key"))
     left = keyed.join(bounded(gone), same, "left_anti")
     repeated = per_row.where("kept").select("_id", F.col(KEY).alias("_key"))
     if not repeated.isEmpty():
-        several = left.join(bounded(repeated), same, "left_semi").dropDuplicates([id_col, KEY])
-        left = left.join(bounded(repeated), same, "left_anti").unionByName(several)
+        first = left.join(bounded(repeated), same, "left_semi").dropDuplicates([id_col, KEY])
+        left = left.join(bounded(repeated), same, "left_anti").unionByName(first)
     return left.drop(KEY)

@@ -111,7 +111,7 @@ def score_texts(doc: np.ndarray, keys: list[np.ndarray], n_docs: int, key: np.nd
     rest = (all_words - n_words)[doc]
     others = []
     for k in keys:
-        at = np.searchsorted(key, k)
+        at = np.where(k > 0, np.searchsorted(key, k), len(key))  # a position without n-gram matches no key
         _, back, own = np.unique(doc * (len(key) + 1) + at, return_inverse=True, return_counts=True)
         others.append(np.where(k > 0, total[np.minimum(at, len(key) - 1)] - own[back], 0) if len(key) else at)
     value = np.maximum(others[0], 1) / np.maximum(rest, 1)

@@ -180,4 +180,4 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     first = first.groupBy(F.col("component_id").alias("_component")).agg(F.min(KEY).alias("_first"))
     joined = found.join(first, F.col("component_id").eqNullSafe(F.col("_component")))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col(KEY) == F.col("_first"))
-    return keep_rows(docs, joined.select("doc_id", KEY, kept.alias("kept")), id_col, text_col)
+    return keep_rows(docs, joined.select("doc_id", KEY, kept.alias("kept")), id_col, text_col, once=True)

@@ -26,7 +26,7 @@ def rows(n: int = 60, seed: int = 1):
     out[2] = (2, "", "en", "a", 0)
     out[3] = (3, None, None, None, None)
     out[4] = (4, " \n\t ", "de", "b", 4)
-    out.append(out[20])
+    out.append(out[min(20, n - 1)])
     out.append((None, "one without an id", "en", "a", 17))
     return out
 
