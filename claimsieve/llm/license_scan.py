@@ -131,9 +131,13 @@ def word_list(text: str) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
 
+def _least_hash(window: Column, seed: int) -> Column:
+    return F.array_min(F.transform(window, lambda h: F.xxhash64(F.lit(seed), h)))
+
+
 def signature(window: Column, bands: int, rows: int) -> Column:
     """One value per band: the smallest seeded hashes over the window, ``rows`` of them together."""
-    least = [F.array_min(F.transform(window, lambda h, i=i: F.xxhash64(F.lit(i), h))) for i in range(bands * rows)]
+    least = [_least_hash(window, i) for i in range(bands * rows)]
     return F.array(*[F.xxhash64(F.lit(b), *least[b * rows : (b + 1) * rows]) for b in range(bands)])
 
 
