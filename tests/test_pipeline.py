@@ -9,8 +9,8 @@ from claimsieve.sources import claims, tables
 
 @pytest.fixture(scope="module")
 def raw(spark):
-    # A generated layer has no event time; every report column but that one is there.
-    return claims.synthetic_claims(spark, 4000)
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    return claims.claims_from_line_items(read("lineitem"), read("orders"))
 
 
 @pytest.mark.parametrize("kind", ["tables", "paths"])

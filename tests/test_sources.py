@@ -4,38 +4,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from claimsieve.params import BAD_CODES, DIAGNOSIS_CODES
 from claimsieve.session import cluster_settings
 from claimsieve.sources import claims, tables
 
 
-def test_synthetic_claims(spark):
-    df = claims.synthetic_claims(spark, 5000, 0.2)
-    assert df.count() == 5000
-    assert df.select("claim_id").distinct().count() == 5000
-    row = df.orderBy("claim_id").first()
-    assert row.claim_id == "CLM-00000000" and row.patient_id.startswith("PAT-") and len(row.patient_id) == 9
-    assert {r[0] for r in df.select("hospital_id").distinct().collect()} == {f"HOSP-{i:03d}" for i in range(1, 11)}
-    assert {r[0] for r in df.select("diagnosis_code").distinct().collect()} == {*DIAGNOSIS_CODES, *BAD_CODES}
-    dirty = df.filter(F.col("diagnosis_code").isin(*BAD_CODES))
-    assert 0.15 < dirty.count() / 5000 < 0.25
-    assert df.filter(~F.col("diagnosis_code").isin(*BAD_CODES) & ~F.col("billed_amount").between(100, 5000)).isEmpty()
-    shapes = dirty.agg(
-        F.count_if(F.col("billed_amount") < 0), F.count_if(F.col("billed_amount") == 0), F.count_if(F.col("billed_amount") >= 10000)
-    ).first()
-    assert sum(shapes) == dirty.count() and all(200 < n < 470 for n in shapes)
-    shares = {r.claim_status: r["count"] / 5000 for r in df.groupBy("claim_status").count().collect()}
-    assert shares["APPROVED"] == pytest.approx(0.5, abs=0.05) and shares["DENIED"] == pytest.approx(0.2, abs=0.05)
-
-
-def test_synthetic_claims_are_repeatable_and_honour_zero(spark):
-    one, two = claims.synthetic_claims(spark, 300), claims.synthetic_claims(spark, 300).repartition(7)
-    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
-    assert claims.synthetic_claims(spark, 0).count() == 0
-    clean = claims.synthetic_claims(spark, 300, 0.0)
-    assert clean.filter(F.col("diagnosis_code").isin(*BAD_CODES)).isEmpty()
-
-
 def test_schema():
     fields = {f.name: (f.dataType.simpleString(), f.nullable) for f in claims.CLAIM_SCHEMA.fields}
     assert fields["claim_id"] == ("string", False) and fields["patient_id"] == ("string", False)
