@@ -58,4 +58,4 @@ def test_partitioned_gold_reports(spark, raw, tmp_path):
     dated = raw.withColumn("service_ts", F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.xxhash64("claim_id"), F.lit(10**6))))
     path = str(tmp_path / "dated")
     tables.write_layer(dated.withColumn("day", F.to_date("service_ts")), path, partition_by=("day",))
-    assert tables.scan(spark, path).count() == 4000
+    assert tables.scan(spark, path).count() == raw.count() > 0
