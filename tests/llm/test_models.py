@@ -103,6 +103,36 @@ def test_without_trusted_text_or_rows(spark):
     assert quality_classifier.classify(spark.createDataFrame([], SCHEMA), none).collect() == []
 
 
+def test_limits_come_from_trusted_texts_without_their_own_counts(spark):
+    rng = random.Random(9)
+    data = [(i, prose(rng, 60), "xx", "a", 1) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], LABELS)
+    docs = frame(spark, data)
+    tables = quality_classifier.train(docs.select("text"))
+    text_of = {r[0]: r[1] for r in data}
+    scored = quality_classifier.perplexity(docs.select("doc_id", "lang", "text"), tables).collect()
+    fold = lambda r: r[quality_classifier.KEY] % quality_classifier.FOLDS
+    models = {
+        k: PlainKneserNey([text_of[r.doc_id] for r in scored if fold(r) != k]) for k in range(quality_classifier.FOLDS)
+    }
+    for r in scored:
+        assert r.held_out == pytest.approx(models[fold(r)].perplexity(text_of[r.doc_id]), rel=1e-9)
+    got = quality_classifier.classify(docs, labels, quality_classifier.Limits(quantile=1.0)).collect()
+    assert sum(r.held_out > r.perplexity for r in scored) > 0.8 * len(scored)
+    reached = sorted(r.held_out / math.exp(2 / math.sqrt(r.n_scored)) for r in scored)
+    limit = reached[-1] + (reached[-1] - reached[39]) * 2 / math.sqrt(80)
+    assert all(r.most == pytest.approx(limit * math.exp(2 / math.sqrt(r.n_scored)), rel=1e-9) for r in got)
+
+
+def test_given_labels_junk_is_rejected_and_clean_texts_stay(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = quality_classifier.classify(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+    shares = got.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r.quality: r.kept for r in shares.collect()}
+    assert kept[0] <= 0.05 and kept[1] >= 0.99
+
+
 # --- Toxicity -----------------------------------------------------------------------------
 
 
