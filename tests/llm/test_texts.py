@@ -140,6 +140,32 @@ def test_shouting_and_noise_fall_out_of_their_band(spark):
     assert sum(got[r[0]] for r in good) >= 78
 
 
+def test_each_band_rejects_planted_junk(spark):
+    rng = random.Random(6)
+    vocabulary = "the of and to in that was for with house water people garden morning letter answer little every".split()
+    good = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(80, 600))), "en", "a", 1) for i in range(80)]
+    words = [" ".join(rng.choice(vocabulary) for _ in range(40)) for _ in range(4)]
+    odd = [(1000 + i, " ".join(w + " \U0001fae0" for w in words), "en", "a", 1) for i in range(3)]
+    shout = [(2000 + i, r[1].upper(), "en", "a", 1) for i, r in enumerate(good[:3])]
+    # Many different words where texts of the language use few.
+    flat = [(3000 + i, " ".join(f"{a}{b}" for a in vocabulary for b in vocabulary[:9]), "en", "a", 1) for i in range(3)]
+    rows_ = quality_rules.quality_rules(frame(spark, good + odd + shout + flat)).collect()
+    out = {c: {r.doc_id for r in rows_ if not r[f"{c}_low"] <= r[c] <= r[f"{c}_high"]} for c in quality_rules.BANDED}
+    assert {r[0] for r in odd} <= out["byte_share"]
+    assert {r[0] for r in shout} <= out["chars_per_token"]
+    assert {r[0] for r in flat} <= out["entropy_gap"]
+    assert sum(r.kept for r in rows_ if r.doc_id < 1000) >= 76 and not any(r.kept for r in rows_ if r.doc_id >= 1000)
+
+
+def test_given_labels_fertility_rejects_junk_and_keeps_clean_texts(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = quality_rules.quality_rules(spark.read.parquet(f"{folder}/documents.parquet")).where("not base_failed")
+    verdicts = [(r.quality, r.kept) for r in got.join(labels, "doc_id").collect()]
+    junk, clean = ([k for q, k in verdicts if q == x] for x in (0, 1))
+    assert sum(junk) <= 0.2 * len(junk) and sum(clean) >= 0.98 * len(clean)
+
+
 def plain_backoff(texts, order, backoff=0.4):
     """Scores from dictionaries of counts, each text without its own."""
     lists = [t.encode().split() for t in texts]
