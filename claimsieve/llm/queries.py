@@ -36,7 +36,7 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every text, decode the ids, compare: the ids as their number and hash."""
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, folder, "documents").select("doc_id", "text", F.xxhash64(text).alias("text_hash"))
-    encoded = sentence_pieces.encode(docs, drop_text=True)
+    encoded = sentence_pieces.encode(docs, drop_text=True, rule=sentence_pieces.MERGES)
     decoded = sentence_pieces.decode(encoded)
     return decoded.select(
         "doc_id",
@@ -64,7 +64,7 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, folder, "documents"))
+    return token_counts.token_counts(table(spark, folder, "documents"), rule=sentence_pieces.MERGES)
 
 
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,10 @@
-"""Encoding with a public piece vocabulary by batched Viterbi, and decoding.
+"""Encoding with a public piece vocabulary by batched merges or Viterbi, and decoding.
 
-A text's best segmentation maximises the sum of the piece scores, as the public library does for a
+The vocabulary at hand is a BPE model: its scores are merge ranks. By the rule ``MERGES`` a chunk's
+characters are joined pair by pair, the best-ranked pair first and the leftmost of equal ones, which gives
+the ids of the public library. The default rule is the unigram search, whose ids are not those of a BPE model:
+
+a text's best segmentation maximises the sum of the piece scores, as the public library does for a
 unigram model: of equal sums the longer last piece wins, and a character outside the vocabulary becomes
 its UTF-8 bytes. Chunks of equal length advance together: for every end position and piece length
 one rolling hash per chunk is looked up among the sorted hashes of the pieces, and the maximum and
@@ -17,6 +21,7 @@ encoded each; an empty table gives an empty result; further columns of the input
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +34,9 @@ from claimsieve.llm.common import ranges, slices
 from claimsieve.llm.pieces import VOCABULARY, Chunks, Pieces, chunks, prepared, read_pieces
 
 FILTER_BITS = 20
+UNIGRAM, MERGES = "unigram", "merges"
+#: Longer chunks are merged one by one with a heap.
+LONGEST_BATCHED = 2048
 MARK_BYTES = "▁".encode()
 
 
@@ -85,7 +93,92 @@ def _follow(piece: np.ndarray, step: np.ndarray, length: int) -> tuple[np.ndarra
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _segment(c: Chunks, path: str) -> tuple[np.ndarray, np.ndarray]:
+def _merge(c: Chunks, starts: np.ndarray, length: int, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(chunk, end, piece) of chunks of one length: in every round each chunk joins its best pair."""
+    pieces, seen = read_pieces(path), _filter(path)
+    n = len(starts)
+    after = np.tile(np.arange(1, length + 1), (n, 1))  # where the symbol that starts here ends
+    before = np.tile(np.arange(-1, length - 1), (n, 1))
+    whole = np.ones((n, length), bool)
+    rank = np.full((n, length), -np.inf)  # of the symbol that starts here and the next, joined
+
+    def look(rows: np.ndarray, at: np.ndarray) -> None:
+        rank[rows, at] = -np.inf
+        inner = after[rows, at] < length
+        rows, at = rows[inner], at[inner]
+        end = after[rows, after[rows, at]]
+        hit, ids = _probe(c.hashes(starts[rows] + at, starts[rows] + end), pieces, seen)
+        rank[rows[hit], at[hit]] = pieces.scores[ids]
+
+    look(*(x.ravel() for x in np.indices((n, length))))
+    alive = np.arange(n)
+    while len(alive):
+        best = rank[alive].argmax(axis=1)
+        more = np.isfinite(rank[alive, best])
+        alive, best = alive[more], best[more]
+        gone = after[alive, best]
+        end = after[alive, gone]
+        after[alive, best] = end
+        whole[alive, gone] = False
+        rank[alive, gone] = -np.inf
+        inner = end < length
+        before[alive[inner], end[inner]] = best[inner]
+        look(alive, best)
+        left = best > 0
+        look(alive[left], before[alive[left], best[left]])
+    rows, at = np.nonzero(whole)
+    end = after[rows, at]
+    ids = np.full(len(rows), -1)
+    hit, found = _probe(c.hashes(starts[rows] + at, starts[rows] + end), pieces, seen)
+    ids[hit] = found
+    return rows, end, ids
+
+
+def _merged_spans(chunk: str, path: str) -> list[tuple[int, int]]:
+    """(end, piece) of one chunk by a heap of pairs; piece -1 is an unknown character."""
+    scores, ids, n = read_pieces(path).scores, _ids(path), len(chunk)
+    after, before, whole = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+    heap: list[tuple[float, int, int]] = []
+
+    def look(at: int) -> None:
+        if after[at] < n:
+            end = after[after[at]]
+            i = ids.get(chunk[at:end])
+            if i is not None:
+                heapq.heappush(heap, (-scores[i], at, end))
+
+    for at in range(n):
+        look(at)
+    while heap:
+        _, at, end = heapq.heappop(heap)
+        if not whole[at] or after[at] >= n or after[after[at]] != end:
+            continue
+        whole[after[at]] = False
+        after[at] = end
+        if end < n:
+            before[end] = at
+        look(at)
+        if at:
+            look(before[at])
+    return [(after[at], ids.get(chunk[at : after[at]], -1)) for at in range(n) if whole[at]]
+
+
+def plain_merges(chunk: str, path: str = VOCABULARY) -> list[int]:
+    """One chunk by merges, comparing strings."""
+    byte_ids, out = read_pieces(path).byte_ids, []
+    for end, i in _merged_spans(chunk, path):
+        out += [i] if i >= 0 else [int(byte_ids[x]) for x in chunk[end - 1].encode("utf-8", "surrogatepass")]
+    return out
+
+
+def _long(c: Chunks, starts: np.ndarray, length: int, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    spans = [_merged_spans("".join(map(chr, c.points[a : a + length].tolist())), path) for a in starts.tolist()]
+    owner = np.repeat(np.arange(len(spans)), [len(x) for x in spans])
+    flat = np.array([pair for x in spans for pair in x], np.int64).reshape(-1, 2)
+    return owner, flat[:, 0], flat[:, 1]
+
+
+def _segment(c: Chunks, path: str, rule: str = UNIGRAM) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all different chunks one after the other, and how many each has."""
     pieces = read_pieces(path)
     n = len(c.starts)
@@ -95,7 +188,10 @@ def _segment(c: Chunks, path: str) -> tuple[np.ndarray, np.ndarray]:
     for group in np.split(order, cuts) if n else []:
         length = int(c.lengths[group[0]])
         for part in np.array_split(group, max(1, len(group) * length >> 20)):
-            chunk, end, ids = _follow(*_viterbi(c, c.starts[part], length, path), length)
+            if rule == MERGES:
+                chunk, end, ids = (_merge if length <= LONGEST_BATCHED else _long)(c, c.starts[part], length, path)
+            else:
+                chunk, end, ids = _follow(*_viterbi(c, c.starts[part], length, path), length)
             owner.append(part[chunk])
             place.append(end * 4)
             token.append(ids)
@@ -117,9 +213,10 @@ def _segment(c: Chunks, path: str) -> tuple[np.ndarray, np.ndarray]:
     return token[ordered], np.bincount(owner, minlength=n)
 
 
-def _segment_by_strings(c: Chunks, path: str) -> tuple[np.ndarray, np.ndarray]:
+def _segment_by_strings(c: Chunks, path: str, rule: str = UNIGRAM) -> tuple[np.ndarray, np.ndarray]:
     """The same result from comparing strings, piece by piece."""
-    found = [plain_viterbi("".join(map(chr, c.points[a : a + n].tolist())), path) for a, n in zip(c.starts, c.lengths)]
+    plain = plain_merges if rule == MERGES else plain_viterbi
+    found = [plain("".join(map(chr, c.points[a : a + n].tolist())), path) for a, n in zip(c.starts, c.lengths)]
     return np.array([i for x in found for i in x], np.int64), np.array([len(x) for x in found], np.int64)
 
 
@@ -171,12 +268,12 @@ def joined_bytes(ids: np.ndarray, path: str) -> np.ndarray:
     return flat[ranges(starts[ids], lengths[ids])]
 
 
-def encode_texts(texts: list[str], path: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: list[str], path: str = VOCABULARY, rule: str = UNIGRAM) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts one after the other, and how many each text has."""
     c = chunks(texts)
     whole = np.frombuffer("".join(map(prepared, texts)).encode(), np.uint8)
     for segment in (_segment, _segment_by_strings):
-        flat, counts = segment(c, path)
+        flat, counts = segment(c, path, rule)
         starts = np.cumsum(counts) - counts
         tokens = flat[ranges(starts[c.which], counts[c.which])]
         if np.array_equal(joined_bytes(tokens, path), whole):
@@ -199,14 +296,15 @@ def _kept(docs: DataFrame, *dropped: str) -> list[str]:
     return [c for c in docs.columns if c not in dropped]
 
 
-def encode(docs: DataFrame, text_col: str = "text", path: str = VOCABULARY, drop_text: bool = False) -> DataFrame:
+def encode(docs: DataFrame, text_col: str = "text", path: str = VOCABULARY, drop_text: bool = False,
+           rule: str = UNIGRAM) -> DataFrame:
     """All columns of ``docs`` and ``tokens``, the piece ids of the whole text."""
     keep = _kept(docs, "tokens", *([text_col] if drop_text else []))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_col):
             texts = [t or "" for t in part.column(text_col).to_pylist()]
-            ids, counts = encode_texts(texts, path)
+            ids, counts = encode_texts(texts, path, rule)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], lists], [*keep, "tokens"])

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 
 from claimsieve.llm.common import columns_of, ranges, slices
 from claimsieve.llm.pieces import VOCABULARY, Chunks, chunks, code_points, read_pieces
+from claimsieve.llm.sentence_pieces import MERGES, UNIGRAM, encode_texts
 
 CHAR_BITS = 21
 
@@ -114,21 +115,24 @@ def terminal_counts(c: Chunks, path: str = VOCABULARY) -> np.ndarray:
     return out
 
 
-def count_tokens(texts: list[str], path: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """(pre-tokens, tokens) of every text."""
+def count_tokens(texts: list[str], path: str = VOCABULARY, rule: str = UNIGRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(pre-tokens, tokens) of every text; merge ranks have no forward score, so by ``MERGES`` chunks are encoded."""
     c = chunks(texts)
-    own = terminal_counts(c, path)
     n_chunks = np.bincount(c.text, minlength=len(texts))
+    if rule == MERGES:
+        return n_chunks, encode_texts(texts, path, rule)[1]
+    own = terminal_counts(c, path)
     return n_chunks, np.bincount(c.text, weights=own[c.which], minlength=len(texts)).astype(np.int64)
 
 
-def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY) -> DataFrame:
+def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY,
+                 rule: str = UNIGRAM) -> DataFrame:
     """doc_id, n_chars, n_pretokens, n_tokens for every row of ``docs``."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            pre, tokens = count_tokens(texts, path)
+            pre, tokens = count_tokens(texts, path, rule)
             chars = np.fromiter(map(len, texts), np.int64, len(texts))
             columns = [part.column("doc_id"), *[pa.array(x.astype(np.int64)) for x in (chars, pre, tokens)]]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_chars", "n_pretokens", "n_tokens"])

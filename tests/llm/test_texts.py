@@ -52,6 +52,19 @@ def test_no_worse_than_the_public_library():
         assert 0 <= gain < 128, w
 
 
+def test_merges_give_the_ids_of_the_unpatched_library(texts, monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.VOCABULARY)
+    more = texts + ["The unbelievable hesting of 1234 aaaaaaa straße, l'été 🙂."]
+    want = [library.encode(t) for t in more]
+    for longest in (sentence_pieces.LONGEST_BATCHED, 3):  # batched, and by the heap
+        monkeypatch.setattr(sentence_pieces, "LONGEST_BATCHED", longest)
+        ids, counts = sentence_pieces.encode_texts(more, rule=sentence_pieces.MERGES)
+        ends = np.cumsum(counts)
+        assert [ids[a:b].tolist() for a, b in zip(ends - counts, ends)] == want
+        assert sentence_pieces.decode_ids(ids, counts) == more
+    assert token_counts.count_tokens(more, rule=sentence_pieces.MERGES)[1].tolist() == [len(x) for x in want]
+
+
 def test_false_hash_matches_are_noticed(texts, monkeypatch):
     """Where two strings share a hash the round trip fails, and strings are compared instead."""
     want = sentence_pieces.encode_texts(texts[:8])
