@@ -66,6 +66,16 @@ def raw_texts(part: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in part.column(column).cast(pa.binary()).to_pylist()]
 
 
+def cut_at_blanks(line: bytes, limit: int) -> Iterator[bytes]:
+    """Parts of about ``limit`` bytes that end at a blank; a longer word stays whole."""
+    at = 0
+    while at < len(line):
+        end = line.find(b" ", at + limit)
+        end = len(line) if end < 0 else end
+        yield line[at:end]
+        at = end
+
+
 def owners(counts: list[int] | np.ndarray) -> np.ndarray:
     """Row numbers, each as often as its count says."""
     return np.repeat(np.arange(len(counts)), counts)
@@ -88,6 +98,17 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(text, F.lit(""))).alias(KEY)
 
 
+def unused(columns: list[str], *wanted: str) -> list[str]:
+    """Names that none of the columns has, whatever the case of its letters."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def keep_rows(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               once: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose verdict (doc_id, text hash, kept) says so.
@@ -95,17 +116,18 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text
     What goes is looked up, for it is the smaller part. Of several rows with one id and text, one
     row stays if their verdicts differ, or always with ``once``.
     """
-    per_row = verdicts.groupBy(F.col("doc_id").alias("_id"), KEY).agg(
+    own, other_id, other_key = unused(docs.columns, KEY, "_id", "_key")
+    per_row = verdicts.groupBy("doc_id", KEY).agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"), F.count_if("kept").alias("kept_rows")
     )
     several = F.col("rows") > (1 if once else F.col("kept_rows"))
     per_row = stored(per_row.where(~F.col("kept") | several), "verdicts")
-    keyed = docs.withColumn(KEY, text_key(text_col))
-    same = [docs[id_col].eqNullSafe(F.col("_id")), keyed[KEY] == F.col("_key")]
-    gone = per_row.where("not kept").select("_id", F.col(KEY).alias("_key"))
-    left = keyed.join(bounded(gone), same, "left_anti")
-    repeated = per_row.where("kept").select("_id", F.col(KEY).alias("_key"))
+    names = [F.col("doc_id").alias(other_id), F.col(KEY).alias(other_key)]
+    keyed = docs.withColumn(own, text_key(text_col))
+    same = [keyed[id_col].eqNullSafe(F.col(other_id)), keyed[own] == F.col(other_key)]
+    left = keyed.join(bounded(per_row.where("not kept").select(*names)), same, "left_anti")
+    repeated = per_row.where("kept").select(*names)
     if not repeated.isEmpty():
-        first = left.join(bounded(repeated), same, "left_semi").dropDuplicates([id_col, KEY])
+        first = left.join(bounded(repeated), same, "left_semi").dropDuplicates([id_col, own])
         left = left.join(bounded(repeated), same, "left_anti").unionByName(first)
-    return left.drop(KEY)
+    return left.drop(own)

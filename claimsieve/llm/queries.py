@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsieve.llm import (
+    decontamination,
     exact_dedup,
     license_scan,
     lm_scoring,
@@ -16,6 +17,7 @@ from claimsieve.llm import (
     quality_rules,
     sentence_pieces,
     simhash,
+    source_audit,
     token_counts,
     toxicity,
 )
@@ -88,6 +90,18 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "lang", "n_scored", "perplexity", F.col("most").alias("most_accepted"), "kept")
 
 
+def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.divergence(table(spark, folder, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix": op1_mix,
@@ -100,6 +114,8 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_toxicity": op9_toxicity,
         "op10_quality_classifier": op10_quality_classifier,
+        "op12_source_audit": op12_source_audit,
+        "op13_decontamination": op13_decontamination,
     }
 
 
@@ -178,5 +194,72 @@ FROM c WHERE containment >= {how.containment} - 1e-9 GROUP BY doc_id, row, templ
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+w AS (SELECT row, lang, source, unnest(words) AS term FROM d),
+g AS (SELECT DISTINCT lang, source FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+  FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER s + 5 * count(*) OVER s) AS p
+  FROM dense WINDOW s AS (PARTITION BY lang, source)),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER s + 5 * count(*) OVER s) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM dense GROUP BY lang, term) WINDOW s AS (PARTITION BY lang)),
+far AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+every AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(far.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN far ON far.lang = x.lang AND far.source = x.source AND far.item = y.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p.p > q.q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT item_id, words, least(10, len(words)) AS width
+  FROM (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+  WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item_id, width, array_to_string(list_slice(words, spot + 1, spot + width), ' ') AS line
+  FROM (SELECT *, unnest(range(0, len(words) - width + 1)) AS spot FROM b)),
+runs AS (
+  SELECT row, spot, width, array_to_string(list_slice(words, spot + 1, spot + width), ' ') AS line
+  FROM (SELECT row, words, width, unnest(range(0, len(words) - width + 1)) AS spot
+        FROM d JOIN (SELECT DISTINCT width FROM windows) ON len(words) >= width)),
+hits AS (SELECT row, spot, width, item_id FROM runs JOIN windows USING (width, line)),
+hit_words AS (SELECT row, count(DISTINCT word) AS n FROM (SELECT row, unnest(range(spot, spot + width)) AS word FROM hits) GROUP BY row),
+hit_items AS (
+  SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(hit_words.n, 0) AS n_hit, coalesce(hit_items.n, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, hit_words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words USING (row) LEFT JOIN hit_items USING (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4, "op7_lm_scoring": OP7, "op8_license_scan": _op8()}
+    return {
+        "op4_exact_dedup": OP4,
+        "op7_lm_scoring": OP7,
+        "op8_license_scan": _op8(),
+        "op12_source_audit": OP12,
+        "op13_decontamination": OP13,
+    }
