@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsieve.llm import (
+    conversation_repair,
     decontamination,
     exact_dedup,
     license_scan,
@@ -90,6 +91,11 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "lang", "n_scored", "perplexity", F.col("most").alias("most_accepted"), "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    broken = conversation_repair.damage(table(spark, folder, "conversations"))
+    return conversation_repair.repair(broken, copies_col=broken.columns[-1])
+
+
 def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.divergence(table(spark, folder, "documents"))
 
@@ -114,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_toxicity": op9_toxicity,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_source_audit": op12_source_audit,
         "op13_decontamination": op13_decontamination,
     }
