@@ -1,9 +1,18 @@
 """K-means on whole numbers: fit, evaluate, save, load.
 
 Features become whole units, their moments exact sums, and the standardised values points of a
-whole-numbered grid. Starts are drawn by a mix of the point itself, distances and cost are whole
-numbers and new centres are rounded quotients of whole sums. Nothing depends on how rows are
-partitioned or in which order they are added.
+whole-numbered grid, with the mean of all rows as its origin. Seeds are oversampled by squared
+distance: in every round each point's distance from the candidates so far, over a draw that mixes the
+point itself, is its priority, and those with the highest join them. The start is the choice of
+candidates with the lowest cost over all candidates, each weighing the rows nearest to it. From there
+distances are whole numbers and new centres rounded quotients of whole sums, until they come to rest.
+Nothing depends on how rows are partitioned or in which order they are added.
+
+A pass reads all points in Arrow batches and returns k rows of sums a task. Most points settle early: where
+the second nearest centre is further than the nearest by more than twice a radius, neither can change
+while every centre stays within that radius. A full pass sums up such points for good and keeps the
+others, and the next steps read only these, until a centre leaves its radius: in one task where a
+count has shown them to be few, else in passes of their own.
 """
 
 from __future__ import annotations
@@ -12,7 +21,10 @@ import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -23,22 +35,31 @@ from claimsieve.operators.cleansing import drop_incomplete
 from claimsieve.operators.clusters import CLUSTER, Centroids, assign, inertia, silhouette_squared
 from claimsieve.params import DEFAULTS, Params
 
-WEIGHT = "n_rows"
 #: Features are counted in thousandths, standardised values in 4096ths of a deviation.
 UNITS = 1000
 GRID = 4096
-#: Every start has its own salt; every second one takes the point with the highest ratio as its last centre.
-STARTS = 6
+#: Rounds of seeding, candidates a round adds, and choices of k candidates that are all tried; beyond them, one by one.
+ROUNDS = 2
+SEEDS = 32
+CHOICES = 50_000
+#: How many times the last step of the centres they may go before points that seemed settled are read again.
+REACH = 8.0
+#: So many points, of those that may still change, go on in one task; more of them take a pass for each step.
+NEAR_ROWS = 2_000_000
+#: Values beyond this would take squared distances out of 64 bits.
+FURTHEST = 1 << 30
 _MODULUS = (1 << 31) - 1
 _FACTORS = (73_856_093, 19_349_663, 83_492_791)
 _SALT = 15_485_863
+_LIMB = 32
 
-Centers = tuple[tuple[int, ...], ...]
+Center = tuple[int, ...]
+Centers = tuple[Center, ...]
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """Centres with their scale, the distinct points they were trained on, and the rows those stand for."""
+    """Centres with their scale, the rows they were trained on, and how many those are."""
 
     centroids: Centroids
     points: DataFrame
@@ -57,32 +78,33 @@ def _unit(c: str) -> str:
     return f"_u_{c}"
 
 
-def distinct_points(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Equal feature rows, in whole units, as one weighted point.
-
-    Amounts repeat, above all within a hot provider: a third of all rows in one provider is at
-    most one point per distinct amount, which every pass of the fit then reads instead.
-    """
+def unit_points(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The features of every row in whole units, and as the numbers these stand for."""
     units = [F.floor(F.col(c) * F.lit(float(UNITS)) + 0.5).cast("bigint").alias(_unit(c)) for c in columns]
-    counted = rows.select(*units).groupBy(*[_unit(c) for c in columns]).agg(F.count(F.lit(1)).alias(WEIGHT))
-    return counted.withColumns({c: F.col(_unit(c)).cast("double") / F.lit(float(UNITS)) for c in columns})
+    return rows.select(*units).select("*", *[(F.col(_unit(c)).cast("double") / F.lit(float(UNITS))).alias(c) for c in columns])
+
+
+def _limbs(value: Column, name: str) -> list[Column]:
+    """The sum of whole numbers of up to 64 bits, in two sums that stay within them."""
+    return [
+        F.sum(F.shiftright(value, _LIMB)).alias(f"{name}_high"),
+        F.sum(value.bitwiseAND(F.lit((1 << _LIMB) - 1))).alias(f"{name}_low"),
+    ]
+
+
+def _whole(row, name: str) -> int:
+    return (int(row[f"{name}_high"] or 0) << _LIMB) + int(row[f"{name}_low"] or 0)
 
 
 def _moments(points: DataFrame, columns: tuple[str, ...]) -> tuple[int, tuple[float, ...], tuple[float, ...]]:
     """Rows, means and population deviations in units, from exact sums: one row reaches the driver."""
-    w = F.col(WEIGHT).cast("decimal(19,0)")
-    sums = points.agg(
-        F.sum(WEIGHT).alias("n"),
-        *[F.sum((w * F.col(_unit(c)).cast("decimal(19,0)")).cast("decimal(38,0)")).alias(f"s{i}") for i, c in enumerate(columns)],
-        *[
-            F.sum((w * (F.col(_unit(c)).cast("decimal(15,0)") * F.col(_unit(c)).cast("decimal(15,0)"))).cast("decimal(38,0)")).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ],
-    ).first()
-    n = int(sums["n"] or 0)
+    units = [F.col(_unit(c)) for c in columns]
+    sums = [x for i, u in enumerate(units) for x in (*_limbs(u, f"s{i}"), *_limbs(u * u, f"q{i}"))]
+    row = points.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    n = int(row["n"])
     if not n:
         return 0, (), ()
-    s, q = ([int(sums[f"{x}{i}"]) for i in range(len(columns))] for x in "sq")
+    s, q = ([_whole(row, f"{x}{i}") for i in range(len(columns))] for x in "sq")
     means = tuple(float(a) / float(n) for a in s)
     return n, means, tuple(math.sqrt(float(n * b - a * a)) / float(n) for a, b in zip(s, q))
 
@@ -96,99 +118,221 @@ def _grid(columns: tuple[str, ...], means: tuple[float, ...], deviations: tuple[
     ]
 
 
-def draw(columns: list[Column], salt: int) -> Column:
-    """A number below 2^31 - 1 that mixes the units of a point with a salt."""
-    mixed = F.lit(salt * _SALT)
-    for i, c in enumerate(columns):
-        mixed = F.pmod(mixed + F.pmod(c, F.lit(_MODULUS)) * F.lit(_FACTORS[i % len(_FACTORS)] % _MODULUS), F.lit(_MODULUS))
-    return F.pmod(mixed * F.lit(48_271), F.lit(_MODULUS))
+def draw(x: np.ndarray, salt: int) -> np.ndarray:
+    """A number from 1 to 2^31 - 1 for every point, which mixes its grid values with a salt."""
+    mixed = np.full(len(x), salt * _SALT % _MODULUS, np.int64)
+    for i in range(x.shape[1]):
+        mixed = (mixed + x[:, i] % _MODULUS * (_FACTORS[i % len(_FACTORS)] % _MODULUS)) % _MODULUS
+    return mixed * 48_271 % _MODULUS + 1
 
 
-def _starts(placed: DataFrame, columns: tuple[str, ...], params: Params) -> list[Centers]:
-    """The starting centres of every start: points with the smallest draws, from one aggregation."""
-    d, k = len(columns), params.n_clusters
-    units = [F.col(_unit(c)) for c in columns]
-    point = F.struct(*[F.col(f"x{i}") for i in range(d)])
-    ratio = columns.index(params.ratio_column) if params.ratio_column in columns else d - 1
-    furthest = F.max(F.struct(F.col(f"x{ratio}").alias("first"), point.alias("p")))["p"]
-    drawn = [
-        F.min(F.struct(draw(units, (params.seed + s) * k + j).alias("first"), point.alias("p")))["p"].alias(f"p{s}_{j}")
-        for s in range(STARTS)
-        for j in range(k)
-    ]
-    row = placed.agg(furthest.alias("far"), *drawn).first()
-    far = tuple(row["far"])
-    return [
-        tuple(far if s % 2 and j == k - 1 else tuple(row[f"p{s}_{j}"]) for j in range(k)) for s in range(STARTS)
-    ]
+def _values(part: pa.RecordBatch, d: int) -> np.ndarray:
+    x = np.column_stack([part.column(f"x{i}").to_numpy() for i in range(d)])
+    if len(x) and np.abs(x).max() > FURTHEST:
+        raise ValueError(f"a feature is more than {FURTHEST // GRID} deviations from its mean; scale it first")
+    return x
+
+
+def _squares(x: np.ndarray, centers: Centers) -> np.ndarray:
+    return np.stack([((x - np.array(c, np.int64)) ** 2).sum(axis=1) for c in centers], axis=1)
+
+
+def _seeds(placed: DataFrame, d: int, centers: Centers, salt: int) -> Centers:
+    """The different points of the highest priority: squared distance from the nearest centre, over the draw."""
+    names = [f"x{i}" for i in range(d)]
+
+    def first(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = np.unique(x, axis=0)
+        far = _squares(x, centers).min(axis=1)
+        x, far = x[far > 0], far[far > 0]
+        priority = far.astype(np.float64) / draw(x, salt).astype(np.float64)
+        order = np.lexsort((*x.T[::-1], -priority))[:SEEDS]
+        return x[order], priority[order]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.zeros((0, d), np.int64)
+        for part in batches:
+            best = first(np.concatenate([best, _values(part, d)]))[0]
+        x, priority = first(best)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(d)), pa.array(priority)], [*names, "priority"])
+
+    found = placed.mapInArrow(task, ", ".join(f"{n} long" for n in names) + ", priority double").distinct()
+    rows = found.orderBy(F.desc("priority"), *names).limit(SEEDS).collect()
+    return tuple(tuple(r[n] for n in names) for r in rows)
+
+
+def _schema(d: int) -> str:
+    sums = ", ".join(f"s{i}_high long, s{i}_low long" for i in range(d))
+    return ", ".join(f"x{i} long" for i in range(d)) + f", cluster int, n long, {sums}"
+
+
+def _sums_and_near(placed: DataFrame, d: int, centers: Centers, radius: float | None) -> DataFrame:
+    """Rows with a cluster: the sums of its points, or of the settled ones with a radius. Rows without one: the other points."""
+    k, schema = len(centers), _schema(d)
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sums = [0] * k, [[0] * d for _ in range(k)]
+        for part in batches:
+            x = _values(part, d)
+            far = _squares(x, centers)
+            own = far.argmin(axis=1)
+            if radius is not None and k > 1:
+                root = np.sqrt(np.partition(far, 1, axis=1)[:, :2].astype(np.float64))
+                near = root[:, 1] - root[:, 0] <= 2 * radius + 1e-3
+                columns = [pa.array(x[near, i]) for i in range(d)]
+                columns += [pa.nulls(int(near.sum()), pa.int32() if c == "cluster" else pa.int64()) for c in names[d:]]
+                yield pa.RecordBatch.from_arrays(columns, names)
+                x, own = x[~near], own[~near]
+            for j in range(k):
+                mine = x[own == j]
+                counts[j] += len(mine)
+                for i in range(d):
+                    sums[j][i] += int(mine[:, i].sum())
+        for j in range(k):
+            whole = [v for s in sums[j] for v in (s >> _LIMB, s & ((1 << _LIMB) - 1))]
+            values = [*[None] * d, j, counts[j], *whole]
+            kinds = [pa.int32() if c == "cluster" else pa.int64() for c in names]
+            yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds)], names)
 
+    return placed.select(*names[:d]).mapInArrow(task, schema)
 
-def _pass(placed: DataFrame, starts: dict[int, Centers], d: int) -> dict[int, tuple[int, Centers]]:
-    """Cost under the centres, and the next centres, of every start: one aggregation, k * (d + 2) totals a start."""
-    spark = placed.sparkSession
-    k = len(next(iter(starts.values())))
-    names = [f"c{j}_{i}" for j in range(k) for i in range(d)]
-    rows = [(s, *[v for center in centers for v in center]) for s, centers in starts.items()]
-    table = spark.createDataFrame(rows, "s int, " + ", ".join(f"{n} bigint" for n in names))
-    # One value for the plan, so that its generated code is the same in every pass.
-    every = table.agg(F.collect_list(F.struct("s", *names))).scalar()
-    tried = placed.withColumn("_t", F.explode(every))
-    distances = [
-        F.struct(
-            sum(((F.col(f"x{i}") - F.col(f"_t.c{j}_{i}")) * (F.col(f"x{i}") - F.col(f"_t.c{j}_{i}")) for i in range(1, d)),
-                (F.col("x0") - F.col(f"_t.c{j}_0")) * (F.col("x0") - F.col(f"_t.c{j}_0"))).alias("d"),
-            F.lit(j).alias("j"),
+
+Totals = list[tuple[int, list[int]]]
+
+
+def _totals(rows: DataFrame, d: int, k: int) -> Totals:
+    """Rows and sums of every cluster: k rows reach the driver."""
+    sums = [F.sum(f"s{i}_{side}").alias(f"s{i}_{side}") for i in range(d) for side in ("high", "low")]
+    found: Totals = [(0, [0] * d) for _ in range(k)]
+    for r in rows.where("cluster IS NOT NULL").groupBy("cluster").agg(F.sum("n").alias("n"), *sums).collect():
+        found[r["cluster"]] = int(r["n"]), [_whole(r, f"s{i}") for i in range(d)]
+    return found
+
+
+def _moved(centers: Centers, *parts: Totals) -> Centers:
+    """The rounded mean of every cluster; an empty one stays."""
+    after = []
+    for j, center in enumerate(centers):
+        n = sum(part[j][0] for part in parts)
+        whole = [sum(values) for values in zip(*(part[j][1] for part in parts))]
+        after.append(tuple((2 * s + n) // (2 * n) for s in whole) if n else center)
+    return tuple(after)
+
+
+def _step(before: Centers, after: Centers) -> float:
+    return max(math.dist(a, b) for a, b in zip(before, after))
+
+
+def _own_totals(x: np.ndarray, centers: Centers) -> Totals:
+    own = _squares(x, centers).argmin(axis=1)
+    return [(int((own == j).sum()), [int(v) for v in x[own == j].sum(axis=0)]) for j in range(len(centers))]
+
+
+def _settle(near: DataFrame, d: int, now: Centers, radius: float, settled: Totals, left: int) -> tuple[Centers, int, float]:
+    """Steps of the few points that may change beside the settled ones, in one task: the centres, steps left, the last step.
+
+    They end at rest, when no steps are left, or with the step that leaves the radius.
+    """
+    names = [f"x{i}" for i in range(d)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.concatenate([np.zeros((0, d), np.int64), *(_values(part, d) for part in batches)])
+        at, step, steps = now, math.inf, left
+        while steps and step > 0 and _step(now, at) <= radius:
+            after = _moved(at, settled, _own_totals(x, at))
+            at, step, steps = after, _step(at, after), steps - 1
+        columns = [pa.array([c[i] for c in at]) for i in range(d)]
+        k = len(at)
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(range(k), pa.int32()), pa.array([steps] * k, pa.int32()), pa.array([step] * k)],
+            [*names, "cluster", "steps", "step"],
         )
-        for j in range(k)
-    ]
-    best = distances[0] if k == 1 else F.least(*distances)
-    w = F.col(WEIGHT).cast("decimal(19,0)")
-    # A drawn number of grid steps times a row count may leave 64 bits; whole decimals do not.
-    sums = tried.select("_t.s", best.alias("b"), w.alias("w"), *[f"x{i}" for i in range(d)]).groupBy("s", "b.j").agg(
-        F.sum("w").alias("n"),
-        F.sum((F.col("w") * F.col("b.d").cast("decimal(19,0)")).cast("decimal(38,0)")).alias("cost"),
-        *[F.sum((F.col("w") * F.col(f"x{i}").cast("decimal(19,0)")).cast("decimal(38,0)")).alias(f"s{i}") for i in range(d)],
-    )
-    cost, moved = dict.fromkeys(starts, 0), {s: list(c) for s, c in starts.items()}
-    for r in sums.collect():  # at most k rows a start
-        n = int(r["n"])
-        cost[r["s"]] += int(r["cost"])
-        moved[r["s"]][r["j"]] = tuple((2 * int(r[f"s{i}"]) + n) // (2 * n) for i in range(d))
-    return {s: (cost[s], tuple(moved[s])) for s in starts}
+
+    one = near.where("cluster IS NULL").select(*names).coalesce(1)
+    rows = one.mapInArrow(task, ", ".join(f"{n} long" for n in names) + ", cluster int, steps int, step double").collect()  # k rows
+    found = sorted(rows, key=lambda r: r["cluster"])
+    return tuple(tuple(r[n] for n in names) for r in found), found[0]["steps"], found[0]["step"]
+
+
+def start(candidates: Centers, weights: list[int], k: int) -> Centers:
+    """The k candidates with the lowest cost over all of them, each with its weight; the first such choice in order.
+
+    Beyond CHOICES the candidates are taken one by one, each where it lowers the cost most.
+    """
+    points, order = np.array(candidates, np.float64), range(len(candidates))
+    weighed = ((points[:, None] - points[None]) ** 2).sum(axis=2) * np.array(weights, np.float64)
+
+    def cost(chosen: tuple[int, ...]) -> int:
+        near = (min(sum((a - b) ** 2 for a, b in zip(p, candidates[j])) for j in chosen) for p in candidates)
+        return sum(w * d for w, d in zip(weights, near))
+
+    def lowest(choices: list[tuple[int, ...]]) -> tuple[int, ...]:
+        """Whole numbers decide between what floating point can't tell apart."""
+        costs = np.concatenate(
+            [weighed[np.array(choices[i : i + 1000])].min(axis=1).sum(axis=1) for i in range(0, len(choices), 1000)]
+        )
+        close = np.flatnonzero(costs <= costs.min() * (1 + 1e-9))
+        return min((choices[i] for i in close), key=lambda c: (cost(c), c))
+
+    if math.comb(len(candidates), k) <= CHOICES:
+        return tuple(candidates[j] for j in lowest(list(combinations(order, k))))
+    chosen: tuple[int, ...] = ()
+    while len(chosen) < k:
+        chosen = lowest([(*chosen, j) for j in order if j not in chosen])
+    return tuple(candidates[j] for j in sorted(chosen))
 
 
 def fit(placed: DataFrame, columns: tuple[str, ...], params: Params = DEFAULTS) -> Centers:
-    """The centres of the start with the lowest cost after all starts have come to rest, by rising ratio."""
-    d = len(columns)
-    now = dict(enumerate(_starts(placed, columns, params)))
-    done: dict[int, tuple[int, Centers]] = {}
-    for _ in range(params.max_iter):
-        after = _pass(placed, now, d)
-        done |= {s: (cost, now[s]) for s, (cost, centers) in after.items() if centers == now[s]}
-        now = {s: centers for s, (_, centers) in after.items() if s not in done}
-        if not now:
-            break
-    else:
-        done |= {s: (cost, now[s]) for s, (cost, _) in _pass(placed, now, d).items()}
-    _, best = min((cost, s) for s, (cost, _) in done.items())
+    """Centres at rest, or after ``max_iter`` steps, by rising ratio. Fewer different points than clusters repeat a centre."""
+    d, k = len(columns), params.n_clusters
+    candidates: Centers = ((0,) * d,)
+    for turn in range(ROUNDS):
+        candidates += _seeds(placed, d, candidates, params.seed + turn)
+    candidates = tuple(sorted(candidates))
+    weights = [n for n, _ in _totals(_sums_and_near(placed, d, candidates, None), d, len(candidates))]
+    candidates += candidates[-1:] * (k - len(candidates))
+    weights += [0] * (len(candidates) - len(weights))
+    now = start(candidates, weights, k)
+    step, left, near, base, radius = math.inf, params.max_iter, None, now, -1.0
+    n_rows = sum(weights)
+    try:
+        while left and step > 0:
+            if math.isinf(step):  # a first step tells how far steps go
+                after = _moved(now, _totals(_sums_and_near(placed, d, now, None), d, k))
+            else:
+                if near is None or _step(base, now) > radius:
+                    if near is not None:
+                        near.unpersist()
+                    base, radius = now, REACH * step
+                    near = _sums_and_near(placed, d, now, radius).persist()
+                    settled = _totals(near, d, k)
+                    if n_rows - sum(n for n, _ in settled) <= NEAR_ROWS:
+                        now, left, step = _settle(near, d, now, radius, settled, left)
+                        continue
+                after = _moved(now, settled, _totals(_sums_and_near(near.where("cluster IS NULL"), d, now, None), d, k))
+            step, now, left = _step(now, after), after, left - 1
+    finally:
+        if near is not None:
+            near.unpersist()
     ratio = columns.index(params.ratio_column) if params.ratio_column in columns else d - 1
-    return tuple(sorted(done[best][1], key=lambda c: (c[ratio], c)))
+    return tuple(sorted(now, key=lambda c: (c[ratio], c)))
 
 
 def train(features: DataFrame, params: Params = DEFAULTS, min_rows: int = 1, complete: bool = False) -> Fitted:
-    """Complete rows -> weighted points, kept in memory and on disk while the passes read them -> fit.
+    """Complete rows -> points, kept in memory and on disk while the passes read them -> fit.
 
     ``complete`` says that incomplete rows are gone already, and spares reading all columns to find
     them. Fewer than ``min_rows`` rows raise ValueError.
     """
     columns = params.feature_columns
     rows = features if complete else drop_incomplete(features)
-    points = distinct_points(rows, columns).persist()
+    points = unit_points(rows, columns).persist()
     n, means, deviations = _moments(points, columns)
     if n < max(min_rows, 1):
         points.unpersist()
         raise ValueError(f"{n} complete rows are too few to train on (at least {max(min_rows, 1)})")
-    placed = points.withColumns({f"x{i}": x for i, x in enumerate(_grid(columns, means, deviations))})
+    placed = points.select(*[x.alias(f"x{i}") for i, x in enumerate(_grid(columns, means, deviations))])
     centers = tuple(tuple(v / GRID for v in center) for center in fit(placed, columns, params))
     scale = [tuple(v / UNITS for v in side) for side in (means, deviations)]
     return Fitted(Centroids(columns, centers, *scale), points, n)
@@ -225,9 +369,9 @@ def scoring_stage(model: Centroids) -> SQLTransformer:
 def evaluate(fitted: Fitted) -> DataFrame:
     """One row: squared-Euclidean silhouette, inertia, clusters, rows."""
     assigned = assign(fitted.points, fitted.centroids, keep=True)
-    return silhouette_squared(assigned, fitted.centroids, weight=WEIGHT).select(
+    return silhouette_squared(assigned, fitted.centroids).select(
         "silhouette_sq",
-        inertia(assigned, WEIGHT).select("inertia").scalar().alias("inertia"),
+        inertia(assigned).select("inertia").scalar().alias("inertia"),
         F.lit(fitted.centroids.k).alias("n_clusters"),
         "n_samples",
     )

@@ -149,22 +149,27 @@ _CTES["gold_tail"] = _gold("tail", "worst_tail")
 
 
 def _draw(salt: int) -> str:
-    """The mix of a point's units with a salt that picks the starts of a fit."""
+    """The mix of a point's grid values with a salt that its priority as a seed is divided by."""
     m = model._MODULUS
-    mixed = str(salt * model._SALT)
+    mixed = str(salt * model._SALT % m)
     for i, factor in enumerate(model._FACTORS):
-        mixed = f"(({mixed} + ((u{i} % {m} + {m}) % {m}) * {factor % m}) % {m})"
-    return f"(({mixed} * 48271) % {m})"
+        mixed = f"(({mixed} + ((x{i} % {m} + {m}) % {m}) * {factor % m}) % {m})"
+    return f"({mixed} * 48271 % {m} + 1)"
 
 
-def _starts(k: int) -> str:
-    far = "(SELECT x0, x1, x2 FROM grid ORDER BY x2 DESC, x0 DESC, x1 DESC LIMIT 1)"
-    parts = []
-    for s in range(model.STARTS):
-        for j in range(k):
-            drawn = f"(SELECT x0, x1, x2 FROM grid ORDER BY {_draw((DEFAULTS.seed + s) * k + j)}, x0, x1, x2 LIMIT 1)"
-            parts.append(f"SELECT {s} AS s, {j} AS j, * FROM {far if s % 2 and j == k - 1 else drawn}")
-    return "\nUNION ALL ".join(parts)
+_POINT = "x0, x1, x2"
+_BETWEEN = " + ".join(f"({{a}}.x{i} - {{b}}.x{i}) * ({{a}}.x{i} - {{b}}.x{i})" for i in range(3))
+
+
+def _seeded(known: str, salt: int) -> str:
+    """The known candidates and the points of the highest priority."""
+    return f"""
+SELECT * FROM {known}
+UNION ALL
+(SELECT {_POINT} FROM (
+   SELECT p.x0, p.x1, p.x2, min({_BETWEEN.format(a="p", b="c")}) AS far
+   FROM (SELECT DISTINCT {_POINT} FROM grid) p, {known} c GROUP BY ALL)
+ WHERE far > 0 ORDER BY far::DOUBLE / {_draw(salt)}::DOUBLE DESC, {_POINT} LIMIT {model.SEEDS})"""
 
 
 def _nearest(d: str = "d") -> str:
@@ -175,9 +180,12 @@ _GRID_D = ", ".join(
     f"(x0 - c{j}0) * (x0 - c{j}0) + (x1 - c{j}1) * (x1 - c{j}1) + (x2 - c{j}2) * (x2 - c{j}2) AS d{j}" for j in range(3)
 )
 _FLAT = ", ".join(f"max(CASE WHEN j = {j} THEN c{i} END) AS c{j}{i}" for j in range(3) for i in range(3))
-# Floored quotients of whole numbers: the remainder is taken with the sign of the divisor.
-_MOVED = ", ".join(f"CAST(((2 * a{i} + n) - (((2 * a{i} + n) % (2 * n)) + 2 * n) % (2 * n)) // (2 * n) AS BIGINT) AS c{i}" for i in range(3))
-_PASSES = 120
+
+
+def _mean(a: str, n: str) -> str:
+    """A rounded quotient of whole numbers: the remainder is taken with the sign of the divisor."""
+    return f"CAST(((2 * {a} + {n}) - (((2 * {a} + {n}) % (2 * {n})) + 2 * {n}) % (2 * {n})) // (2 * {n}) AS BIGINT)"
+
 
 _CTES["points"] = "SELECT " + ", ".join(
     f"CAST(floor({c} * 1000::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS u{i}" for i, c in enumerate(_FEATURES)
@@ -192,24 +200,37 @@ _CTES["grid"] = "SELECT u0, u1, u2, w, " + ", ".join(
     f"CASE WHEN us{i} > 0 THEN CAST(floor((u{i}::DOUBLE - um{i}) / us{i} * 4096::DOUBLE + 0.5::DOUBLE) AS BIGINT) ELSE 0 END AS x{i}"
     for i in range(3)
 ) + " FROM points, unit_moments"
-_CTES["starts"] = _starts(DEFAULTS.n_clusters)
+_CTES["seeds0"] = "SELECT 0::BIGINT AS x0, 0::BIGINT AS x1, 0::BIGINT AS x2"
+for _turn in range(model.ROUNDS):
+    _CTES[f"seeds{_turn + 1}"] = _seeded(f"seeds{_turn}", DEFAULTS.seed + _turn)
+_CTES["candidates"] = f"SELECT row_number() OVER (ORDER BY {_POINT}) AS c, {_POINT} FROM seeds{model.ROUNDS}"
+_CTES["weighed"] = f"""
+SELECT c.*, coalesce(n, 0) AS n
+FROM candidates c LEFT JOIN (
+  SELECT c, sum(w)::HUGEINT AS n
+  FROM (SELECT {", ".join(f"p.x{i}" for i in range(3))}, p.w, arg_min(c.c, ({_BETWEEN.format(a="p", b="c")}, c.c)) AS c
+        FROM (SELECT {_POINT}, sum(w) AS w FROM grid GROUP BY ALL) p, candidates c GROUP BY ALL)
+  GROUP BY c) USING (c)"""
+_CTES["apart"] = f"SELECT p.c AS p, q.c AS q, p.n * ({_BETWEEN.format(a='p', b='q')}) AS d FROM weighed p, weighed q"
+_CTES["start"] = """
+SELECT x.q AS j0, y.q AS j1, z.q AS j2, sum(least(x.d, y.d, z.d)) AS cost
+FROM apart x JOIN apart y ON x.p = y.p AND x.q < y.q JOIN apart z ON y.p = z.p AND y.q < z.q
+GROUP BY ALL ORDER BY cost, j0, j1, j2 LIMIT 1"""
+_EACH = [(j, i) for j in range(3) for i in range(3)]
 _CTES["fit"] = f"""
-SELECT 0 AS it, s, j, x0::BIGINT AS c0, x1::BIGINT AS c1, x2::BIGINT AS c2 FROM starts
+SELECT 0 AS it, true AS moving, {", ".join(f"(SELECT x{i} FROM candidates WHERE c = j{j}) AS c{j}{i}" for j, i in _EACH)} FROM start
 UNION ALL
-SELECT f.it + 1, f.s, f.j, coalesce(m.c0, f.c0), coalesce(m.c1, f.c1), coalesce(m.c2, f.c2)
-FROM fit f LEFT JOIN (
-  SELECT s, j, {_MOVED} FROM (
-    SELECT s, {_nearest()} AS j, sum(w)::HUGEINT AS n,
-           sum(w * x0)::HUGEINT AS a0, sum(w * x1)::HUGEINT AS a1, sum(w * x2)::HUGEINT AS a2
-    FROM (SELECT s, w, x0, x1, x2, {_GRID_D} FROM grid, (SELECT s, {_FLAT} FROM fit GROUP BY s)) GROUP BY ALL)) m
-  ON m.s = f.s AND m.j = f.j
-WHERE f.it < {_PASSES}"""
-_CTES["costs"] = f"""
-SELECT s, sum(w * least(d0, d1, d2))::HUGEINT AS cost
-FROM (SELECT s, w, {_GRID_D} FROM grid, (SELECT s, {_FLAT} FROM fit WHERE it = {_PASSES} GROUP BY s)) GROUP BY s"""
+SELECT it + 1, {" OR ".join(f"n{j}{i} <> c{j}{i}" for j, i in _EACH)}, {", ".join(f"n{j}{i}" for j, i in _EACH)}
+FROM (SELECT f.*, {", ".join(f"CASE WHEN m{j} > 0 THEN {_mean(f'a{j}{i}', f'm{j}')} ELSE c{j}{i} END AS n{j}{i}" for j, i in _EACH)}
+      FROM fit f, (
+        SELECT {", ".join(f"coalesce(sum(w) FILTER (WHERE j = {j}), 0)::HUGEINT AS m{j}" for j in range(3))},
+               {", ".join(f"sum(w * x{i}) FILTER (WHERE j = {j})::HUGEINT AS a{j}{i}" for j, i in _EACH)}
+        FROM (SELECT w, x0, x1, x2, {_nearest()} AS j FROM (SELECT w, x0, x1, x2, {_GRID_D} FROM grid, fit)))
+      WHERE f.moving AND f.it < {DEFAULTS.max_iter})"""
 _CTES["centers"] = f"""
 SELECT row_number() OVER (ORDER BY c2, c0, c1) - 1 AS j, c0 / 4096::DOUBLE AS c0, c1 / 4096::DOUBLE AS c1, c2 / 4096::DOUBLE AS c2
-FROM fit WHERE it = {_PASSES} AND s = (SELECT s FROM costs ORDER BY cost, s LIMIT 1)"""
+FROM (SELECT unnest([{", ".join(f"{{'c0': c{j}0, 'c1': c{j}1, 'c2': c{j}2}}" for j in range(3))}], recursive := true)
+      FROM (SELECT * FROM fit ORDER BY it DESC LIMIT 1))"""
 _CTES["fitted_scale"] = f"""
 SELECT {_FLAT}, {", ".join(f"any_value(um{i} / 1000::DOUBLE) AS m{i}, any_value(us{i} / 1000::DOUBLE) AS s{i}" for i in range(3))}
 FROM centers, unit_moments"""
@@ -333,10 +354,14 @@ _NEEDS = {
     "points": ("complete",),
     "unit_moments": ("points",),
     "grid": ("unit_moments",),
-    "starts": ("grid",),
-    "fit": ("starts",),
-    "costs": ("fit",),
-    "centers": ("costs",),
+    "seeds0": ("grid",),
+    **{f"seeds{i + 1}": (f"seeds{i}",) for i in range(model.ROUNDS)},
+    "candidates": (f"seeds{model.ROUNDS}",),
+    "weighed": ("candidates",),
+    "apart": ("weighed",),
+    "start": ("apart",),
+    "fit": ("start",),
+    "centers": ("fit",),
     "fitted_scale": ("centers",),
     "fitted_rows": ("fitted_scale",),
     "fitted_points": ("fitted_scale",),

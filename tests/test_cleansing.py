@@ -19,28 +19,28 @@ def by_id(df, column):
 
 def test_documented_silver(sample):
     silver = cleansing.cleanse(sample)
-    assert ids(silver) == ["CLM-1", "CLM-2", "CLM-3", "CLM-6", "CLM-7"]
-    assert by_id(silver, "billed_amount")["CLM-3"] == 500.0
+    assert ids(silver) == ["north-1", "north-2", "north-3", "north-4", "quay-1", "south-1"]
+    assert by_id(silver, "billed_amount")["north-4"] == 88.6
     codes = by_id(silver, "diagnosis_code")
-    assert codes["CLM-6"] == codes["CLM-7"] == "UNKNOWN"
+    assert codes["north-3"] == codes["quay-1"] == "UNKNOWN"
 
 
 def test_compat_silver_loses_null_codes_and_keeps_empty_ones(sample):
     silver = cleansing.cleanse(sample, compat=True)
-    assert ids(silver) == ["CLM-1", "CLM-2", "CLM-3", "CLM-6"]
-    assert by_id(silver, "diagnosis_code")["CLM-6"] == ""
+    assert ids(silver) == ["north-1", "north-2", "north-3", "north-4", "south-1"]
+    assert by_id(silver, "diagnosis_code")["north-3"] == ""
     checks = {r["check_name"]: (r["violations"], r["ok"]) for r in cleansing.post_clean_checks(silver).collect()}
     assert checks == {"negative_amount": (0, True), "null_record_id": (0, True), "empty_code": (1, False)}
 
 
 def test_metrics_documented_and_compat(sample):
     row = cleansing.cleansing_metrics(sample).first()
-    assert (row.initial_count, row.final_count, row.duplicates_removed) == (7, 5, 0)
-    assert (row.invalid_diagnosis_removed, row.null_diagnosis_imputed) == (1, 2)
-    assert (row.negative_amounts_corrected, row.outliers_filtered) == (1, 1)
-    assert row.records_removed == 2 and row.cleansing_rate == pytest.approx(2 / 7)
+    assert (row.initial_count, row.final_count, row.duplicates_removed) == (11, 6, 1)
+    assert (row.invalid_diagnosis_removed, row.null_diagnosis_imputed) == (2, 2)
+    assert (row.negative_amounts_corrected, row.outliers_filtered) == (2, 2)
+    assert row.records_removed == 5 and row.cleansing_rate == pytest.approx(5 / 11)
     row = cleansing.cleansing_metrics(sample, compat=True).first()
-    assert (row.invalid_diagnosis_removed, row.null_diagnosis_imputed, row.outliers_filtered) == (2, 1, 1)
+    assert (row.invalid_diagnosis_removed, row.null_diagnosis_imputed, row.outliers_filtered) == (3, 1, 2)
 
 
 def test_metrics_of_an_empty_table(sample):
@@ -119,5 +119,5 @@ def test_cleansing_is_idempotent(sample):
     once = cleansing.cleanse(sample)
     twice = cleansing.cleanse(once)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
-    assert len(SAMPLE) == 7 and not any(math.isnan(r.billed_amount) for r in once.collect())
+    assert len(SAMPLE) == 11 and not any(math.isnan(r.billed_amount) for r in once.collect())
     assert once.filter(F.col("billed_amount") < 0).isEmpty()

@@ -67,7 +67,7 @@ def test_compat_silver_counts_raw_checks_twice(sample):
 def test_feature_checks(sample):
     built = feat.features(cleansing.cleanse(sample))
     assert set(statuses(ex.check_layer(built, "features", "t")).values()) == {"passed"}
-    broken = built.withColumn("amount_to_avg_ratio", F.when(F.col("claim_id") == "CLM-1", -1.0))
+    broken = built.withColumn("amount_to_avg_ratio", F.when(F.col("claim_id") == "north-1", -1.0))
     got = statuses(ex.check_layer(broken, "features", "t"))
     assert got["no_null_ratios"] == "failed" and got["positive_ratios"] == "failed"
     zero = built.withColumn("amount_to_avg_ratio", F.lit(0.0))

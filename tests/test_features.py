@@ -13,11 +13,11 @@ from claimsieve.operators import features as feat
 
 def test_baseline_of_the_sample(sample):
     base = {r.hospital_id: r for r in feat.provider_baseline(cleansing.cleanse(sample)).collect()}
-    one = base["HOSP-001"]
-    assert one.hosp_avg_billed == pytest.approx(1733.3333333)
-    assert (one.hosp_min_billed, one.hosp_max_billed, one.hosp_claim_count) == (1200.0, 2500.0, 3)
-    assert one.hosp_stddev_billed == pytest.approx(680.6859, abs=1e-4)
-    for single in ("HOSP-002", "HOSP-003"):
+    north, amounts = base["north"], (320.4, 74.15, 611.0, 88.6)
+    assert north.hosp_avg_billed == pytest.approx(statistics.fmean(amounts))
+    assert (north.hosp_min_billed, north.hosp_max_billed, north.hosp_claim_count) == (74.15, 611.0, 4)
+    assert north.hosp_stddev_billed == pytest.approx(statistics.stdev(amounts))
+    for single in ("quay", "south"):
         assert base[single].hosp_claim_count == 1 and base[single].hosp_stddev_billed is None
 
 
@@ -25,11 +25,11 @@ def test_features_of_the_sample(sample):
     built = feat.features(cleansing.cleanse(sample))
     got = {r.claim_id: r for r in built.collect()}
     assert {k: r.amount_to_avg_ratio for k, r in got.items()} == {
-        "CLM-1": 0.865, "CLM-2": 1.442, "CLM-3": 1.0, "CLM-6": 1.0, "CLM-7": 0.692,
+        "north-1": 1.171, "north-2": 0.271, "north-3": 2.234, "north-4": 0.324, "quay-1": 1.0, "south-1": 1.0,
     }
-    assert got["CLM-3"].amount_z_score == got["CLM-6"].amount_z_score == 0.0
+    assert got["quay-1"].amount_z_score == got["south-1"].amount_z_score == 0.0
     assert not any(r.is_above_2std for r in got.values())
-    assert cleansing.drop_incomplete(built).count() == 3
+    assert cleansing.drop_incomplete(built).count() == 4
     assert {r.check_name: r.violations for r in feat.feature_checks(built).collect()} == {"null_ratio": 0, "extreme_ratio": 0}
 
 

@@ -38,7 +38,7 @@ def test_failed_check_keeps_the_old_layer(spark, raw, sample):
         medallion.to_silver(spark, layers, compat=True)
     assert tables.scan(spark, layers.silver).count() == before
     medallion.to_silver(spark, layers)
-    assert tables.scan(spark, layers.silver).count() == 5
+    assert tables.scan(spark, layers.silver).count() == 6
 
 
 def test_feature_gate(spark, claim_frame):

@@ -12,12 +12,13 @@ def ratios(spark, rows):
     return spark.createDataFrame(rows, "claim_id string, amount_to_avg_ratio double, cluster_prediction int")
 
 
-def test_sample_features(spark):
-    df = ratios(spark, [("CLM-001", 1.07, 0), ("CLM-002", 3.57, 1), ("CLM-003", 1.11, 0)])
-    assert clusters.anomaly_cluster(df).first().anomaly_cluster == 1
-    got = {r.claim_id: (r.is_anomaly, r.anomaly_confidence, r.risk_level) for r in scoring.score_assigned(df).collect()}
+def test_only_rows_of_the_worst_cluster_above_the_threshold_are_flagged(spark):
+    df = ratios(spark, [("calm", 0.42, 2), ("odd", 1.9, 0), ("steady", 1.05, 2), ("odd but low", 1.02, 0), ("far", 2.3, 2)])
+    assert clusters.anomaly_cluster(df).first().anomaly_cluster == 0
+    got = {r.claim_id: (r.is_anomaly, pytest.approx(r.anomaly_confidence), r.risk_level) for r in scoring.score_assigned(df).collect()}
     assert got == {
-        "CLM-001": (False, 0.0, "NORMAL"), "CLM-002": (True, 1.0, "HIGH"), "CLM-003": (False, 0.0, "NORMAL"),
+        "calm": (False, 0.0, "NORMAL"), "steady": (False, 0.0, "NORMAL"), "odd but low": (False, 0.0, "NORMAL"),
+        "far": (False, 0.0, "REVIEW"), "odd": (True, 0.45, "MEDIUM"),
     }
 
 
@@ -132,7 +133,7 @@ def test_monitoring(spark, gold, sample):
     assert monitoring.anomaly_rate_check(gold).first().alert
     assert not monitoring.anomaly_rate_check(gold, 0.25).first().alert
     row = monitoring.retention_check(sample).first()
-    assert (row.bronze_count, row.silver_count, row.alert) == (7, 5, True)
+    assert (row.bronze_count, row.silver_count, row.alert) == (11, 6, True)
     stored = monitoring.stored_retention_check(spark.range(100), spark.range(90)).first()
     assert stored.retention == 0.9 and not stored.alert
     nulls = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
