@@ -35,8 +35,8 @@ from claimsieve.llm.common import SLICE_BYTES, bounded, columns_of, cut_at_blank
 
 #: Bytes as terms are read: A-Z lower-cased, letters and what lies beyond ASCII kept, blanks for the rest.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-COUNTS = "lang string, source string, digest long, n long, docs long, word string"
-#: Rows of a batch that a task hands over.
+COUNTS = "lid long, digest long, docs long, gids array<long>, counts array<long>, word string"
+#: Terms of a batch that a task hands over.
 BATCH = 50_000
 
 
@@ -52,35 +52,44 @@ class Audit:
     digest_bits: int = 64
 
 
-def _digest(word: bytes, bits: int) -> int:
-    found = xxhash.xxh64_intdigest(word) >> (64 - bits)
-    return found - (1 << 64) if found >> 63 else found
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
-def _counted(named: DataFrame, how: Audit, every_word: bool = False) -> DataFrame:
-    """COUNTS of what a task saw between two hand-overs; a term's text stands in one row of its language, or in all."""
+def _number(name: str, salt: str) -> int:
+    """A fixed-width number for a language or a source, as Spark's own hash gives it."""
+    return _signed(xxhash.xxh64_intdigest((salt + name).encode(), 42))
+
+
+def _counted(named: DataFrame, how: Audit, salt: str) -> DataFrame:
+    """COUNTS: for every term that a task saw between two hand-overs its documents and its count in each source."""
 
     def hand_over(counts: dict, docs: dict) -> Iterator[pa.RecordBatch]:
-        shown: dict[str, set[bytes]] = defaultdict(set)
-        columns: list[list] = [[] for _ in range(6)]
-        for (lang, source), words in counts.items():
-            seen = shown[lang]
-            for word, n in words.items():
-                values = lang, source, _digest(word, how.digest_bits), n, docs[lang, source][word]
-                text = word if every_word or word not in seen else None
-                seen.add(word)
-                for column, value in zip(columns, (*values, text)):
-                    column.append(value)
-                if len(columns[0]) == BATCH:
-                    yield batch(columns)
-                    columns = [[] for _ in range(6)]
-        yield batch(columns)
-
-    def batch(columns: list[list]) -> pa.RecordBatch:
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        values = [pa.array(v, kind) for v, kind in zip(columns, kinds)]
-        values[-1] = values[-1].cast(pa.string())
-        return pa.RecordBatch.from_arrays(values, [c.split()[0] for c in COUNTS.split(", ")])
+        for lang, seen in docs.items():
+            if not seen:
+                continue
+            words = list(seen)
+            place = {word: i for i, word in enumerate(words)}
+            mine = [(_number(source, salt), found) for (other, source), found in counts.items() if other == lang]
+            term = np.concatenate([np.fromiter(map(place.__getitem__, found), np.int64, len(found)) for _, found in mine])
+            count = np.concatenate([np.fromiter(found.values(), np.int64, len(found)) for _, found in mine])
+            group = np.repeat(np.array([gid for gid, _ in mine], np.int64), [len(found) for _, found in mine])
+            order = np.argsort(term, kind="stable")
+            ends = np.append(0, np.cumsum(np.bincount(term, minlength=len(words))))
+            group, count = group[order], count[order]
+            digests = [_signed(xxhash.xxh64_intdigest(word) >> (64 - how.digest_bits)) for word in words]
+            for at in range(0, len(words), BATCH):
+                to = min(at + BATCH, len(words))
+                offsets = pa.array(ends[at : to + 1] - ends[at], pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(v[ends[at] : ends[to]], pa.int64())) for v in (group, count)]
+                columns = [
+                    pa.array(np.full(to - at, _number(lang, salt)), pa.int64()),
+                    pa.array(digests[at:to], pa.int64()),
+                    pa.array([seen[word] for word in words[at:to]], pa.int64()),
+                    *lists,
+                    pa.array(words[at:to], pa.binary()).cast(pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in COUNTS.split(", ")])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, docs = defaultdict(Counter), defaultdict(Counter)
@@ -92,7 +101,7 @@ def _counted(named: DataFrame, how: Audit, every_word: bool = False) -> DataFram
                     words = piece.split()
                     counts[group].update(words)
                     different.update(words)
-                docs[group].update(different)
+                docs[group[0]].update(different)
             if sum(map(len, counts.values())) > how.entries:
                 yield from hand_over(counts, docs)
                 counts, docs = defaultdict(Counter), defaultdict(Counter)
@@ -111,46 +120,57 @@ def share(n: Column, whole: Column, terms: Column, how: Audit) -> Column:
     return found + F.lit(1)
 
 
-def _groups(named: DataFrame) -> DataFrame:
-    """(lang, source, gid, lid): a number for every group, and for every language."""
-    found = named.select("lang", "source").distinct().sortWithinPartitions("lang", "source")
-    found = stored(found.withColumn("gid", F.monotonically_increasing_id()), "groups")
-    return stored(found.join(found.groupBy("lang").agg(F.min("gid").alias("lid")), "lang"), "group-ids")
+def _groups(named: DataFrame) -> tuple[DataFrame, str]:
+    """(lang, source, lid, gid): a number for every language, and for every source in it; the salt that keeps them apart."""
+    found, turn = stored(named.select("lang", "source").distinct(), "groups"), 0
+    while True:
+        salt = "" if not turn else f"{turn}:"
+        lid, gid = (F.xxhash64(F.concat(F.lit(salt), F.col(c))).alias(n) for c, n in (("lang", "lid"), ("source", "gid")))
+        numbered = found.select("lang", "source", lid, gid)
+        per_lang = numbered.groupBy("lid").agg(
+            F.min("lang").alias("a"), F.max("lang").alias("b"), F.count(F.lit(1)).alias("n"), F.count_distinct("gid").alias("m")
+        )
+        if per_lang.where("a <> b OR n <> m").isEmpty():
+            return stored(numbered, "group-numbers"), salt
+        turn += 1
 
 
-def _kept(counts: DataFrame, keys: list[str], how: Audit) -> DataFrame:
-    """(keys, entries) of the terms of enough documents; ``entries`` has the count of every group with the term."""
-    dealt = counts.select(*keys, "gid", "n", "docs").repartition(*keys)
-    per_group = dealt.groupBy(*keys, "gid").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    whole = per_group.groupBy(*keys).agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("gid", "n")).alias("entries"))
-    return whole.where(F.col("docs") >= how.least_docs).drop("docs")
+KEY = ["lid", "digest"]
 
 
-def _terms(named: DataFrame, groups: DataFrame, how: Audit) -> tuple[DataFrame, DataFrame]:
-    """Kept terms as (lid, digest, part, entries), and their texts as (lid, digest, part, word)."""
-    key = ["lid", "digest"]
+def _entries(counts: DataFrame, *keys: str) -> DataFrame:
+    """(keys, entries): the count of every group that has the term, added up."""
+    each = counts.select(*keys, F.explode(F.arrays_zip("gids", "counts")).alias("e"))
+    per_group = each.groupBy(*keys, F.col("e.gids").alias("gid")).agg(F.sum("e.counts").alias("n"))
+    return per_group.groupBy(*keys).agg(F.collect_list(F.struct("gid", "n")).alias("entries"))
+
 
-    def numbered(counts: DataFrame) -> DataFrame:
-        return counts.join(bounded(groups), ["lang", "source"])
+def _kept(counts: DataFrame, *keys: str, how: Audit) -> DataFrame:
+    """The keys of enough documents."""
+    return counts.groupBy(*keys).agg(F.sum("docs").alias("docs")).where(F.col("docs") >= how.least_docs).select(*keys)
 
-    counts = numbered(stored(_counted(named, how), "term-counts"))
-    kept = stored(_kept(counts, key, how), "kept-terms")
-    shown = counts.where("word IS NOT NULL").select(*key, "word").join(bounded(kept.select(*key)), key, "left_semi")
-    texts = stored(shown.groupBy(*key).agg(F.min("word").alias("word"), F.max("word").alias("other")), "kept-texts")
-    shared = texts.where("word <> other").select(*key)
+
+def _terms(named: DataFrame, salt: str, how: Audit) -> tuple[DataFrame, DataFrame]:
+    """Kept terms as (lid, digest, part, entries), and their texts as (lid, digest, part, word)."""
+    counts = stored(_counted(named, how, salt), "term-counts")
+    kept = stored(_kept(counts, *KEY, how=how), "kept-digests")
+    of_kept = counts.join(bounded(kept), KEY, "left_semi")
+    texts = of_kept.groupBy(*KEY).agg(F.min("word").alias("word"), F.max("word").alias("other"))
+    texts = stored(texts, "kept-texts")
+    shared = texts.where("word <> other").select(*KEY)
     first = F.lit(0).alias("part")
     if shared.isEmpty():
-        return kept.select(*key, first, "entries"), texts.select(*key, first, "word")
-    # A digest of several terms: count the strings themselves, for these digests only.
-    again = numbered(_counted(named, how, every_word=True)).join(bounded(shared), key, "left_semi")
-    by_word = Window.partitionBy(*key).orderBy("word")
-    split = stored(_kept(again, [*key, "word"], how).withColumn("part", F.row_number().over(by_word)), "split-terms")
-    alone = kept.join(bounded(shared), key, "left_anti")
-    words = texts.where("word = other")
-    return (
-        alone.select(*key, first, "entries").unionByName(split.select(*key, "part", "entries")),
-        words.select(*key, first, "word").unionByName(split.select(*key, "part", "word")),
-    )
+        terms = stored(_entries(of_kept, *KEY).select(*KEY, first, "entries"), "kept-terms")
+        return terms, texts.select(*KEY, first, "word")
+    # A digest of several terms: its strings are counted themselves.
+    strings = counts.join(bounded(shared), KEY, "left_semi")
+    by_word = Window.partitionBy(*KEY).orderBy("word")
+    enough = stored(_kept(strings, *KEY, "word", how=how).withColumn("part", F.row_number().over(by_word)), "split-texts")
+    split = _entries(strings.join(bounded(enough), [*KEY, "word"]), *KEY, "part")
+    alone = _entries(of_kept.join(bounded(shared), KEY, "left_anti"), *KEY)
+    terms = alone.select(*KEY, first, "entries").unionByName(split)
+    words = texts.where("word = other").select(*KEY, first, "word").unionByName(enough.select(*KEY, "part", "word"))
+    return stored(terms, "kept-terms"), words
 
 
 def _distances(dense: DataFrame) -> DataFrame:
@@ -176,7 +196,7 @@ def _distances(dense: DataFrame) -> DataFrame:
 
 
 def _pairs(terms: DataFrame, groups: DataFrame, how: Audit) -> DataFrame:
-    """(gid, item, value) of every group against each other source of its language."""
+    """(lid, gid, item, value) of every group against each other source of its language."""
     sides = groups.groupBy("lid", "terms").agg(F.array_sort(F.collect_list(F.struct("gid", "whole"))).alias("side"))
     counts = F.map_from_entries("entries")
     shares = F.transform(
@@ -188,20 +208,20 @@ def _pairs(terms: DataFrame, groups: DataFrame, how: Audit) -> DataFrame:
     both = found.unionByName(found.select("lid", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     every = place.alias("x").join(place.alias("y"), (F.col("x.lid") == F.col("y.lid")) & (F.col("x.at") != F.col("y.at")))
     every = every.select("x.lid", "x.gid", F.col("x.at").alias("a"), F.col("y.at").alias("b"), F.col("y.source").alias("item"))
-    return every.join(both, ["lid", "a", "b"], "left").select("gid", "item", F.coalesce("value", F.lit(0)).alias("value"))
+    return every.join(both, ["lid", "a", "b"], "left").select("lid", "gid", "item", F.coalesce("value", F.lit(0)).alias("value"))
 
 
 def _listed(terms: DataFrame, texts: DataFrame, groups: DataFrame, how: Audit) -> DataFrame:
-    """(gid, item, value) of the terms a group uses more than its language does, as many as are listed, ties included."""
+    """(lid, gid, item, value) of the terms a group uses more than its language does, as many as are listed, ties included."""
     total = F.aggregate("entries", F.lit(0).cast("long"), lambda n, x: n + x["n"])
     each = terms.select("lid", "digest", "part", total.alias("all_n"), F.explode("entries").alias("e"))
     each = each.select("lid", "digest", "part", "all_n", "e.gid", "e.n")
-    known = each.join(bounded(groups.select("gid", "whole", "terms", "lang_whole")), "gid")
+    known = each.join(bounded(groups.select("lid", "gid", "whole", "terms", "lang_whole")), ["lid", "gid"])
     more = share(F.col("n"), F.col("whole"), F.col("terms"), how) - share(F.col("all_n"), F.col("lang_whole"), F.col("terms"), how)
     valued = known.select("lid", "digest", "part", "gid", more.alias("value")).where("value > 0")
-    first = valued.withColumn("place", F.rank().over(Window.partitionBy("gid").orderBy(F.desc("value"))))
+    first = valued.withColumn("place", F.rank().over(Window.partitionBy("lid", "gid").orderBy(F.desc("value"))))
     first = stored(first.where(F.col("place") <= how.top), "listed")
-    return texts.join(bounded(first), ["lid", "digest", "part"]).select("gid", F.col("word").alias("item"), "value")
+    return texts.join(bounded(first), [*KEY, "part"]).select("lid", "gid", F.col("word").alias("item"), "value")
 
 
 def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
@@ -209,17 +229,17 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     """lang, source, part ('pair' or 'term'), item, value, rank of every group."""
     named = columns_of(docs, lang=lang_col, source=source_col, text=text_col)
     named = named.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text")
-    groups = _groups(named)
-    terms, texts = _terms(named, groups, how)
+    groups, salt = _groups(named)
+    terms, texts = _terms(named, salt, how)
     wholes = terms.select("lid", F.explode("entries").alias("e")).groupBy("lid", "e.gid").agg(F.sum("e.n").alias("whole"))
     kept = terms.groupBy("lid").agg(F.count(F.lit(1)).alias("terms"))
     sized = groups.join(wholes, ["lid", "gid"], "left").join(kept, "lid", "left").fillna(0, ["whole", "terms"])
     sized = stored(sized.join(sized.groupBy("lid").agg(F.sum("whole").alias("lang_whole")), "lid"), "sized-groups")
     pairs = _pairs(terms, sized, how).withColumn("kind", F.lit("pair"))
     listed = _listed(terms, texts, sized, how).withColumn("kind", F.lit("term"))
-    by_value = Window.partitionBy("gid", "kind").orderBy(F.desc("value"), "item")
+    by_value = Window.partitionBy("lid", "gid", "kind").orderBy(F.desc("value"), "item")
     ranked = pairs.unionByName(listed).withColumn("rank", F.row_number().over(by_value))
     ranked = ranked.where((F.col("kind") == "pair") | (F.col("rank") <= how.top))
-    return ranked.join(bounded(groups.select("gid", "lang", "source")), "gid").select(
+    return ranked.join(bounded(groups), ["lid", "gid"]).select(
         "lang", "source", F.col("kind").alias("part"), "item", "value", "rank"
     )
