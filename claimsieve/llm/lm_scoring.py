@@ -36,7 +36,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 class Backoff:
     """Order of the model, the factor of every step back, and what a slot and a shard may hold."""
 
-    order: int = 2
+    order: int = 3
     backoff: float = 0.4
     slot_bytes: int = 12 << 20
     shard_entries: int = 2_000_000
@@ -54,8 +54,9 @@ def ngrams(texts: list[bytes], how: Backoff) -> tuple[np.ndarray, list[np.ndarra
     doc = owners([len(x) for x in lists])
     known: dict[bytes, int] = {}
     for words in lists:
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w, how.seed)
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w, how.seed)
     word = np.fromiter((known[w] for x in lists for w in x), np.uint64, len(doc))
     keys = [np.maximum(word, np.uint64(1))]
     for n in range(2, how.order + 1):

@@ -144,25 +144,32 @@ WITH w AS (
   SELECT doc_id, row AS row, unnest(words) AS w, generate_subscripts(words, 1) AS pos
   FROM (SELECT doc_id, row_number() OVER () AS row,
                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)),
-g AS (SELECT row, pos, w, lag(w) OVER (PARTITION BY row ORDER BY pos) AS v FROM w),
+g AS (SELECT row, pos, w, lag(w) OVER p AS v, lag(w, 2) OVER p AS u FROM w WINDOW p AS (PARTITION BY row ORDER BY pos)),
 uni AS (SELECT w, count(*) AS n FROM g GROUP BY w),
 own_uni AS (SELECT row, w, count(*) AS n FROM g GROUP BY row, w),
 bi AS (SELECT v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY v, w),
 own_bi AS (SELECT row, v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY row, v, w),
+tri AS (SELECT u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY u, v, w),
+own_tri AS (SELECT row, u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY row, u, v, w),
 size AS (SELECT row, count(*) AS n FROM g GROUP BY row),
 whole AS (SELECT count(*) AS n FROM g),
 o_uni AS (SELECT row, w, uni.n - own_uni.n AS n FROM own_uni JOIN uni USING (w)),
 o_bi AS (SELECT row, v, w, bi.n - own_bi.n AS n FROM own_bi JOIN bi USING (v, w)),
+o_tri AS (SELECT row, u, v, w, tri.n - own_tri.n AS n FROM own_tri JOIN tri USING (u, v, w)),
 s AS (
   SELECT g.row,
-         CASE WHEN o_bi.n > 0 THEN o_bi.n::DOUBLE / cv.n
-              ELSE CASE WHEN g.v IS NULL THEN 1.0 ELSE 0.4 END::DOUBLE
-                   * (greatest(cw.n, 1)::DOUBLE / greatest(whole.n - size.n, 1)) END AS value,
-         CASE WHEN o_bi.n > 0 THEN 0 ELSE 1 END AS single
+         CASE WHEN o_tri.n > 0 THEN o_tri.n::DOUBLE / cuv.n
+              ELSE CASE WHEN g.u IS NULL THEN 1.0 ELSE 0.4 END::DOUBLE * CASE
+                WHEN o_bi.n > 0 THEN o_bi.n::DOUBLE / cv.n
+                ELSE CASE WHEN g.v IS NULL THEN 1.0 ELSE 0.4 END::DOUBLE
+                     * (greatest(cw.n, 1)::DOUBLE / greatest(whole.n - size.n, 1)) END END AS value,
+         CASE WHEN o_tri.n > 0 OR o_bi.n > 0 THEN 0 ELSE 1 END AS single
   FROM g JOIN size USING (row) CROSS JOIN whole
   JOIN o_uni cw ON cw.row = g.row AND cw.w = g.w
   LEFT JOIN o_uni cv ON cv.row = g.row AND cv.w = g.v
-  LEFT JOIN o_bi ON o_bi.row = g.row AND o_bi.v = g.v AND o_bi.w = g.w),
+  LEFT JOIN o_bi ON o_bi.row = g.row AND o_bi.v = g.v AND o_bi.w = g.w
+  LEFT JOIN o_bi cuv ON cuv.row = g.row AND cuv.v = g.u AND cuv.w = g.v
+  LEFT JOIN o_tri ON o_tri.row = g.row AND o_tri.u = g.u AND o_tri.v = g.v AND o_tri.w = g.w),
 per AS (SELECT row, count(*) AS n_words, sum(ln(value)) AS log_score, sum(single)::DOUBLE AS n_single FROM s GROUP BY row),
 d AS (SELECT doc_id, row_number() OVER () AS row FROM documents)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(log_score, 0.0), 4) AS log_score,
