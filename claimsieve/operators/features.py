@@ -29,17 +29,37 @@ def provider_baseline(df: DataFrame, cols: Columns = CLAIMS, scale: int | None =
     the same for any partitioning or after a recomputed task; ``scale=None`` takes the built-in
     floating-point aggregates for amounts that are not money.
     """
-    amount = F.col(cols.amount)
-    edges = (F.min(amount).alias(LOW), F.max(amount).alias(HIGH), F.count(cols.record).alias(COUNT))
     if scale is None:
-        return df.groupBy(cols.provider).agg(F.avg(amount).alias(MEAN), F.stddev_samp(amount).alias(SPREAD), *edges)
+        amount = F.col(cols.amount)
+        return df.groupBy(cols.provider).agg(
+            F.avg(amount).alias(MEAN), F.stddev_samp(amount).alias(SPREAD),
+            F.min(amount).alias(LOW), F.max(amount).alias(HIGH), F.count(cols.record).alias(COUNT),
+        )
+    return from_moments(moments(df, (cols.provider,), cols, scale), cols, scale)
+
+
+def moments(df: DataFrame, by: tuple[str, ...], cols: Columns = CLAIMS, scale: int = CENTS) -> DataFrame:
+    """Counts, whole sums and edges of the amounts by any keys: what baselines are made of, and what can be added up."""
+    amount = F.col(cols.amount)
     units = minor_units(amount, scale)
-    moments = df.groupBy(cols.provider).agg(
+    return df.groupBy(*by).agg(
         F.count(amount).alias("_n"),
         F.sum(units).alias("_s"),
         F.sum(units.cast("decimal(19,0)") * units.cast("decimal(19,0)")).alias("_q"),
-        *edges,
+        F.min(amount).alias(LOW),
+        F.max(amount).alias(HIGH),
+        F.count(cols.record).alias(COUNT),
     )
+
+
+def added_moments(stored: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Moments of the same keys, of other days or deliveries, as one."""
+    sums = [F.sum(c).cast(stored.schema[c].dataType).alias(c) for c in ("_n", "_s", "_q", COUNT)]
+    return stored.groupBy(*by).agg(*sums, F.min(LOW).alias(LOW), F.max(HIGH).alias(HIGH))
+
+
+def from_moments(moments: DataFrame, cols: Columns = CLAIMS, scale: int = CENTS) -> DataFrame:
+    """The baseline of every provider from its moments."""
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
     whole_n, whole_s = n.cast("decimal(13,0)"), s.cast("decimal(19,0)")
     spread = (whole_n * q - whole_s * whole_s).cast("double")
@@ -55,20 +75,26 @@ def provider_baseline(df: DataFrame, cols: Columns = CLAIMS, scale: int | None =
 
 
 def attach_baseline(
-    df: DataFrame, baseline: DataFrame, cols: Columns = CLAIMS, small: bool = False, null_safe: bool = False
+    df: DataFrame,
+    baseline: DataFrame,
+    cols: Columns = CLAIMS,
+    small: bool = False,
+    null_safe: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Left join with the baseline. NULL providers match nothing unless ``null_safe``.
 
     ``small`` says that a count has shown the baseline to fit a broadcast; the big side is then
     not shuffled. Otherwise the planner chooses from sizes, and adaptive execution splits the
-    partitions of a hot provider in the sort-merge join.
+    partitions of a hot provider in the sort-merge join. ``bucketed`` says that both sides lie in
+    buckets by provider, which only a plain = makes use of.
     """
     right = baseline.withColumnRenamed(cols.provider, "_provider")
     left_key, right_key = F.col(cols.provider), F.col("_provider")
     # Written with <=> because a plain = makes the optimizer filter NULL providers out below the
     # baseline only: both sides then shuffle the records separately instead of sharing one exchange.
-    matches = left_key.eqNullSafe(right_key)
-    if not null_safe:
+    matches = left_key == right_key if bucketed else left_key.eqNullSafe(right_key)
+    if not null_safe and not bucketed:
         matches = matches & left_key.isNotNull()
     return df.join(F.broadcast(right) if small else right, matches, "left").drop("_provider")
 
@@ -91,10 +117,11 @@ def features(
     params: Params = DEFAULTS,
     scale: int | None = CENTS,
     small: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Baseline, join, ratio, z-score and flag."""
     return (
-        df.transform(attach_baseline, provider_baseline(df, cols, scale), cols, small)
+        df.transform(attach_baseline, provider_baseline(df, cols, scale), cols, small, False, bucketed)
         .transform(add_ratio, cols, params)
         .transform(add_z_score, cols)
         .transform(add_above_k, params.std_threshold)

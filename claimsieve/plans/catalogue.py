@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -12,6 +13,7 @@ from claimsieve.functions.money import minor_units
 from claimsieve.operators import cleansing, clusters, expectations, model, monitoring, reports, scoring
 from claimsieve.operators import features as feat
 from claimsieve.params import BAD_CODES, CLAIMS, DEFAULTS, Columns
+from claimsieve.plans import increments
 from claimsieve.sources import claims, tables
 from claimsieve.streaming import scorer
 
@@ -180,6 +182,37 @@ def provider_baseline_events(spark: SparkSession, folder: str) -> DataFrame:
     return feat.provider_baseline(table(spark, folder, "events"), EVENTS)
 
 
+def _deliveries(spark: SparkSession, folder: str) -> increments.Store:
+    """The raw rows in two deliveries, stored by month: odd orders first, then even ones and some odd ones again."""
+    store = increments.Store(*(tables.new_folder(spark, f"by-month-{layer}") for layer in ("silver", "moments")))
+    lines, key = table(spark, folder, "lineitem"), F.col("l_orderkey")
+    for part in (key % 2 == 1, (key % 2 == 0) | (key % 7 == 1)):
+        rows = claims.claims_from_line_items(lines.filter(part), table(spark, folder, "orders"))
+        increments.deliver(spark, rows, store, period="yyyy-MM")
+    return store
+
+
+def provider_baseline_delivered(spark: SparkSession, folder: str) -> DataFrame:
+    """The baseline of the stored moments of two deliveries."""
+    return increments.baseline(spark, _deliveries(spark, folder))
+
+
+def features_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of three months' records against the baseline of all that was delivered."""
+    store = _deliveries(spark, folder)
+    months = ["1995-03", "1995-04", "1995-05"]
+    return increments.features_of_days(spark, store, months, small=providers_fit(spark, folder))
+
+
+def features_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of a silver table in buckets by provider: aggregated and joined where the rows lie."""
+    name = f"silver_{uuid.uuid4().hex}"
+    path = tables.new_folder(spark, "silver-buckets")
+    buckets = max(8, spark.sparkContext.defaultParallelism)
+    clean = tables.write_bucketed(silver(spark, folder), name, "hospital_id", buckets, path=path)
+    return feat.features(clean, bucketed=True)
+
+
 # --- fitted model -------------------------------------------------------------------------
 
 
@@ -309,6 +342,9 @@ def queries() -> dict[str, Query]:
         # baselines and features
         "provider_baseline": lambda s, d: feat.provider_baseline(silver(s, d)),
         "provider_baseline_events": provider_baseline_events,
+        "provider_baseline_delivered": provider_baseline_delivered,
+        "features_of_days": features_of_days,
+        "features_bucketed": features_bucketed,
         "provider_join": provider_join,
         "provider_baseline_window": provider_baseline_window,
         "ratio_feature": _cut((*ID, "billed_amount", feat.RATIO), features),

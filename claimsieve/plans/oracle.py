@@ -535,6 +535,9 @@ FROM (SELECT claim_id IS NOT NULL AND patient_id IS NOT NULL AND hospital_id IS
 FROM (SELECT *, coalesce(failed / nullif(total_checks, 0), 0::DOUBLE) AS share FROM report)""",
         ),
         "provider_baseline": _over("baseline", "SELECT * FROM baseline"),
+        "provider_baseline_delivered": _over("baseline", "SELECT * FROM baseline"),
+        "features_bucketed": _over("features", "SELECT * FROM features"),
+        "features_of_days": _over("features", "SELECT * FROM features WHERE strftime(service_ts, '%Y-%m') IN ('1995-03', '1995-04', '1995-05')"),
         "provider_baseline_events": _over("event_baseline", "SELECT * FROM event_baseline"),
         "provider_join": _over("baseline", "SELECT * FROM silver LEFT JOIN baseline USING (hospital_id)"),
         "provider_baseline_window": _over(

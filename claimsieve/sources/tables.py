@@ -116,6 +116,56 @@ def replace_folder(spark: SparkSession, folder: str, target: str) -> None:
         files.delete(spare, True)
 
 
+def replace_days(written: str, target: str, day: str, spark: SparkSession) -> list[str]:
+    """Give the written folders of some days the place of the target's; other days' files are not touched.
+
+    What was there is set aside and comes back if a later day fails. Returns the days.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [x.getPath().getName() for x in files.listStatus(path(written)) if x.isDirectory()]
+    names = sorted(n for n in listed if n.startswith(f"{day}="))
+    spare = f"{target.rstrip('/')}-{uuid.uuid4().hex}"
+    files.mkdirs(path(target))
+    files.mkdirs(path(spare))
+    moved: list[tuple[str, bool]] = []
+    try:
+        for name in names:
+            had = files.exists(path(f"{target}/{name}"))
+            if had and not files.rename(path(f"{target}/{name}"), path(f"{spare}/{name}")):
+                raise OSError(f"{target}/{name} cannot be set aside")
+            moved.append((name, had))
+            if not files.rename(path(f"{written}/{name}"), path(f"{target}/{name}")):
+                raise OSError(f"{target}/{name} cannot be replaced")
+    except Exception:
+        for name, had in reversed(moved):
+            files.delete(path(f"{target}/{name}"), True)
+            if had:
+                files.rename(path(f"{spare}/{name}"), path(f"{target}/{name}"))
+        raise
+    finally:
+        if all(files.exists(path(f"{target}/{name}")) for name, _ in moved):
+            files.delete(path(spare), True)
+    return [n.removeprefix(f"{day}=") for n in names]
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, fmt: str = "parquet", path: str | None = None) -> DataFrame:
+    """A catalog table whose rows lie in buckets by ``key``, sorted by it: one exchange, when writing.
+
+    Aggregations by the key and joins on it with tables of as many buckets then read it without another.
+    All rows of a key are in one bucket, which one task reads; see :func:`hot_share`.
+    """
+    writer = df.repartition(buckets, key).write.format(fmt).mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.read.table(table)
+
+
+def hot_share(counts: DataFrame, n_rows: str) -> float:
+    """The largest key's share of all rows, from one row a key. Buckets suit keys whose share is below that of a task."""
+    row = counts.agg(F.try_divide(F.max(n_rows), F.sum(n_rows)).alias("share")).first()
+    return float(row["share"] or 0.0)
+
+
 def key_count_at_most(df: DataFrame, key: str, limit: int) -> bool:
     """Does ``key`` take at most ``limit`` values? One scan of one column; decides on broadcasts."""
     seen = df.agg(F.approx_count_distinct(key, 0.02).alias("n")).first()["n"]

@@ -32,8 +32,10 @@ def record_key(columns: list[tuple[str, str]]) -> Column:
     return F.sha2(F.to_json(F.struct(*same_zero), {"ignoreNullFields": "false"}), 256)
 
 
-def clean_stream(records: DataFrame, params: Params = DEFAULTS, cols: Columns = CLAIMS) -> DataFrame:
-    """Cleansed records with the digest of the raw one and its day; copies are left to ``write_new``.
+def clean_stream(
+    records: DataFrame, params: Params = DEFAULTS, cols: Columns = CLAIMS, period: str = "yyyy-MM-dd"
+) -> DataFrame:
+    """Cleansed records with the digest of the raw one and its day (or month, by ``period``); copies are left to the writer.
 
     No state and no watermark: a file that arrives late loses nothing.
     """
@@ -41,7 +43,7 @@ def clean_stream(records: DataFrame, params: Params = DEFAULTS, cols: Columns =
     kept = cleansing.drop_invalid_code(records, params.invalid_diagnosis_code, cols.code).filter(
         (F.col(cols.amount) > -cap) & (F.col(cols.amount) < cap)
     )
-    day = F.coalesce(F.date_format(cols.event_time, "yyyy-MM-dd"), F.lit("none"))
+    day = F.coalesce(F.date_format(cols.event_time, period), F.lit("none"))
     return (
         kept.withColumn(RECORD, record_key(records.dtypes))
         .withColumn(DAY, day)
