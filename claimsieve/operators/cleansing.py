@@ -6,7 +6,9 @@ three-valued-logic variant that loses NULL codes and leaves empty ones in place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimsieve.params import CLAIMS, DEFAULTS, Columns, Params
@@ -55,10 +57,13 @@ def cleanse(df: DataFrame, params: Params = DEFAULTS, cols: Columns = CLAIMS, co
     The filters are stated on the raw columns, before the sign is corrected: -cap < x < cap
     is the cap rule after ``abs``, and in this form a file scan can skip row groups by it.
     """
+    return df.transform(drop_exact_duplicates).transform(_rules, params, cols, compat)
+
+
+def _rules(different: DataFrame, params: Params, cols: Columns, compat: bool) -> DataFrame:
     cap = F.lit(float(params.max_billed_amount))
     return (
-        df.transform(drop_exact_duplicates)
-        .transform(drop_invalid_code, params.invalid_diagnosis_code, cols.code, compat)
+        different.transform(drop_invalid_code, params.invalid_diagnosis_code, cols.code, compat)
         .filter((F.col(cols.amount) > -cap) & (F.col(cols.amount) < cap))
         .transform(impute_code, params.default_diagnosis_code, cols.code, compat)
         .transform(absolute_amounts, cols.amount)
@@ -73,26 +78,7 @@ def cleansing_metrics(
     The de-duplication keeps the number of copies, so the count before it comes from the same
     aggregation; every later flag includes "survived the rules before".
     """
-    code, amount = F.col(cols.code), F.col(cols.amount)
-    bad = _is_bad(code, params.invalid_diagnosis_code, compat)
-    below_cap = F.coalesce(F.abs(amount) < F.lit(float(params.max_billed_amount)), F.lit(False))
-    flagged = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")).select(
-        "_copies",
-        bad.alias("_bad"),
-        (~bad & (code.isNull() | (code == ""))).alias("_imputed"),
-        (~bad & (amount < 0)).alias("_negative"),
-        (~bad & ~below_cap).alias("_outlier"),
-    )
-    initial = F.coalesce(F.sum("_copies"), F.lit(0))
-    counts = flagged.agg(
-        initial.alias("initial_count"),
-        (F.count(F.lit(1)) - F.count_if("_bad") - F.count_if("_outlier")).alias("final_count"),
-        (initial - F.count(F.lit(1))).alias("duplicates_removed"),
-        F.count_if("_bad").alias("invalid_diagnosis_removed"),
-        F.count_if("_imputed").alias("null_diagnosis_imputed"),
-        F.count_if("_negative").alias("negative_amounts_corrected"),
-        F.count_if("_outlier").alias("outliers_filtered"),
-    )
+    counts = with_copies(df).agg(*metric_counts(params, cols, compat))
     removed = F.col("initial_count") - F.col("final_count")
     return counts.withColumns(
         {
@@ -102,14 +88,77 @@ def cleansing_metrics(
     )
 
 
-def post_clean_checks(df: DataFrame, cols: Columns = CLAIMS) -> DataFrame:
-    """One row per check on the cleansed rows: check, violations, ok."""
-    rules = {
+COPIES = "_copies"
+
+
+def with_copies(df: DataFrame) -> DataFrame:
+    """Different rows with the number of their copies."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def metric_counts(params: Params = DEFAULTS, cols: Columns = CLAIMS, compat: bool = False) -> list[Column]:
+    """The counters of the cleansing, as aggregates over different rows with their copies."""
+    code, amount = F.col(cols.code), F.col(cols.amount)
+    bad = _is_bad(code, params.invalid_diagnosis_code, compat)
+    below_cap = F.coalesce(F.abs(amount) < F.lit(float(params.max_billed_amount)), F.lit(False))
+    outlier = ~bad & ~below_cap
+    initial = F.coalesce(F.sum(COPIES), F.lit(0))
+    return [
+        initial.alias("initial_count"),
+        (F.count(F.lit(1)) - F.count_if(bad) - F.count_if(outlier)).alias("final_count"),
+        (initial - F.count(F.lit(1))).alias("duplicates_removed"),
+        F.count_if(bad).alias("invalid_diagnosis_removed"),
+        F.count_if(~bad & (code.isNull() | (code == ""))).alias("null_diagnosis_imputed"),
+        F.count_if(~bad & (amount < 0)).alias("negative_amounts_corrected"),
+        F.count_if(outlier).alias("outliers_filtered"),
+    ]
+
+
+def cleanse_observed(
+    df: DataFrame,
+    seen: Observation,
+    params: Params = DEFAULTS,
+    cols: Columns = CLAIMS,
+    compat: bool = False,
+    more: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """:func:`cleanse`, with its counters and the violations of ``more`` over all raw rows observed as they are written.
+
+    They are taken after the exchange of the de-duplication, in the stage that writes, where a
+    task that is run again counts once; a row counts as often as it was there.
+    """
+    violations = [F.coalesce(F.sum(F.when(v, F.col(COPIES))), F.lit(0)).alias(name) for name, v in (more or {}).items()]
+    different = with_copies(df).observe(seen, *metric_counts(params, cols, compat), *violations)
+    return different.transform(_rules, params, cols, compat).drop(COPIES)
+
+
+def observed_metrics(seen: Observation) -> dict[str, float]:
+    """The row that :func:`cleansing_metrics` gives, from what was seen."""
+    found = {k: v for k, v in seen.get.items() if k in METRICS}
+    removed = found["initial_count"] - found["final_count"]
+    rate = removed / found["initial_count"] if found["initial_count"] else 0.0
+    return found | {"records_removed": removed, "cleansing_rate": rate}
+
+
+# The counters that a report of the cleansing shows.
+METRICS = (
+    "initial_count", "final_count", "duplicates_removed", "invalid_diagnosis_removed", "null_diagnosis_imputed",
+    "negative_amounts_corrected", "outliers_filtered",
+)
+
+
+def post_clean_rules(cols: Columns = CLAIMS) -> dict[str, Column]:
+    """What no cleansed row may be."""
+    return {
         "negative_amount": F.col(cols.amount) < 0,
         "null_record_id": F.col(cols.record).isNull(),
         "empty_code": F.col(cols.code) == "",
     }
-    return violation_rows(df, rules)
+
+
+def post_clean_checks(df: DataFrame, cols: Columns = CLAIMS) -> DataFrame:
+    """One row per check on the cleansed rows: check, violations, ok."""
+    return violation_rows(df, post_clean_rules(cols))
 
 
 def violation_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

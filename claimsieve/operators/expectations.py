@@ -6,7 +6,7 @@ and every predicate's hits in a single scan that reads only the checked columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -101,19 +101,38 @@ def evaluate(df: DataFrame, suite: Suite) -> DataFrame:
 
 def evaluate_all(df: DataFrame, suites: dict[int, Suite]) -> DataFrame:
     """The checks of several suites over one table, all counted in one aggregation."""
-    held = set(df.columns)
-    n = F.col("_n")
-    hits = {
-        f"_v{no}_{i}": F.count_if(c.violation)
+    hits = violations(suites, df.columns)
+    counted = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(hit).alias(name) for name, hit in hits.items()])
+    return _results(counted, suites, df.columns)
+
+
+def violations(suites: dict[int, Suite], columns: Sequence[str]) -> dict[str, Column]:
+    """The predicates of the checks whose columns are there, under the names their counts go by."""
+    return {
+        f"_v{no}_{i}": c.violation
         for no, suite in suites.items()
         for i, c in enumerate(suite.checks)
-        if set(c.needs) <= held
+        if set(c.needs) <= set(columns)
     }
-    counted = df.agg(F.count(F.lit(1)).alias("_n"), *[hit.alias(name) for name, hit in hits.items()])
-    structs = [row for no, suite in suites.items() for row in _result_rows(no, suite, held, n, hits)]
+
+
+def _results(counted: DataFrame, suites: dict[int, Suite], columns: Sequence[str]) -> DataFrame:
+    hits = violations(suites, columns)
+    structs = [row for no, suite in suites.items() for row in _result_rows(no, suite, set(columns), F.col("_n"), hits)]
     return counted.select(F.inline(F.array(*structs)))
 
 
+def observed_results(
+    spark: SparkSession, n_rows: int, counts: Mapping[str, int], suite: Suite, columns: Sequence[str], layer: str, table: str
+) -> DataFrame:
+    """The results of a suite from counts that were observed while its rows were written: no scan."""
+    names = ["_n", *violations({0: suite}, columns)]
+    row = [(n_rows, *[int(counts[name]) for name in names[1:]])]
+    counted = spark.createDataFrame(row, ", ".join(f"{name} long" for name in names))
+    found = _results(counted, {0: suite}, columns).drop("suite_no")
+    return found.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), *RESULT_COLUMNS)
+
+
 def _result_rows(no: int, suite: Suite, held: set[str], n: Column, hits: dict[str, Column]) -> list[Column]:
     missing = sorted(set(suite.required) - held)
     rows: list[tuple[str, Column, Column, Column]] = []

@@ -130,8 +130,12 @@ def features(
 
 def feature_checks(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """The gate of the features layer: NULL ratios, and extreme ones (NaN counts as extreme)."""
+    return violation_rows(df, feature_rules(params))
+
+
+def feature_rules(params: Params = DEFAULTS) -> dict[str, Column]:
     ratio = F.col(RATIO)
-    return violation_rows(df, {"null_ratio": ratio.isNull(), "extreme_ratio": ratio > params.extreme_ratio})
+    return {"null_ratio": ratio.isNull(), "extreme_ratio": ratio > params.extreme_ratio}
 
 
 def feature_stats(df: DataFrame) -> DataFrame:

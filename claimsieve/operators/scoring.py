@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimsieve.functions import scores
@@ -57,15 +57,16 @@ def gold(
 
 def gold_checks(scored: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """The gate of the gold layer: every row has a cluster, a flag and a level that agree with each other."""
+    return violation_rows(scored, gold_rules(params))
+
+
+def gold_rules(params: Params = DEFAULTS) -> dict[str, Column]:
     flag, ratio, confidence = F.col(FLAG), F.col(RATIO), F.col(CONFIDENCE)
     flagged_level = F.col(LEVEL).isin("HIGH", "MEDIUM", "LOW")
-    return violation_rows(
-        scored,
-        {
-            "no_cluster": F.col(CLUSTER).isNull(),
-            "no_flag": flag.isNull(),
-            "flag_without_ratio": flag & ~(ratio > params.anomaly_ratio_threshold),
-            "confidence_range": F.coalesce(~confidence.between(0.0, 1.0), F.lit(True)),
-            "level_against_flag": F.coalesce(flagged_level != flag, F.lit(True)),
-        },
-    )
+    return {
+        "no_cluster": F.col(CLUSTER).isNull(),
+        "no_flag": flag.isNull(),
+        "flag_without_ratio": flag & ~(ratio > params.anomaly_ratio_threshold),
+        "confidence_range": F.coalesce(~confidence.between(0.0, 1.0), F.lit(True)),
+        "level_against_flag": F.coalesce(flagged_level != flag, F.lit(True)),
+    }

@@ -1,6 +1,6 @@
 """The layered pipeline: each stage reads one stored layer and stores the next, or nothing.
 
-A stage writes its rows once to a new folder, checks them there with one narrow scan and only
+A stage writes its rows once to a new folder, counts violations while it writes them, and only
 then makes the folder the table's content. A failed check leaves the old table untouched.
 """
 
@@ -10,7 +10,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimsieve.operators import cleansing, expectations, model, scoring
@@ -30,16 +31,33 @@ class Layers:
     metrics: str = "claims_model_metrics"
 
 
-def store_checked(df: DataFrame, name: str, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Write once, check, publish. ``check`` gives rows (name, violations, ok); any false one raises."""
+def store_checked(
+    df: DataFrame,
+    name: str,
+    rules: dict[str, Column],
+    suite: expectations.Suite | None = None,
+    layer: str = "",
+    before: Callable[[], None] = lambda: None,
+) -> DataFrame:
+    """Write once, count violations while writing, publish. A broken rule or a failed check of the suite raises.
+
+    ``before`` may raise as well, when the rows are written and not yet published. Nothing is read a second time.
+    """
     spark = df.sparkSession
     is_path = "/" in name
     folder = f"{name.rstrip('/')}-{uuid.uuid4().hex}" if is_path else _version_folder(spark, name)
-    df.write.parquet(folder)
-    written = spark.read.schema(df.schema).parquet(folder)
-    broken = [r["check_name"] for r in check(written).filter(~F.col("ok")).collect()]
+    hits = expectations.violations({0: suite}, df.columns) if suite else {}
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    counts = [F.count_if(v).alias(c) for c, v in (rules | hits).items()]
+    df.observe(seen, F.count(F.lit(1)).alias("_n"), *counts).write.parquet(folder)
+    found = seen.get
+    before()
+    broken = [rule for rule in rules if found[rule]]
     if broken:
         raise ValueError(f"{name} not written, failed checks: " + ", ".join(broken))
+    if suite:
+        expectations.require_valid(expectations.observed_results(spark, found["_n"], found, suite, df.columns, layer, name))
+    written = spark.read.schema(df.schema).parquet(folder)
     if is_path:
         replace_folder(spark, folder, name)
     else:
@@ -54,17 +72,55 @@ def _version_folder(spark: SparkSession, table: str) -> str:
 def to_silver(
     spark: SparkSession, layers: Layers, params: Params = DEFAULTS, cols: Columns = CLAIMS, compat: bool = False
 ) -> DataFrame:
-    cleaned = scan(spark, layers.bronze).transform(cleansing.cleanse, params, cols, compat)
-    return store_checked(cleaned, layers.silver, lambda df: cleansing.post_clean_checks(df, cols))
+    return silver_with_metrics(spark, layers, params, cols, compat)[0]
+
+
+def silver_with_metrics(
+    spark: SparkSession,
+    layers: Layers,
+    params: Params = DEFAULTS,
+    cols: Columns = CLAIMS,
+    compat: bool = False,
+    expect: bool = False,
+) -> tuple[DataFrame, dict[str, float]]:
+    """The silver layer and the counters of its cleansing, from one scan of bronze.
+
+    With ``expect`` the expectations of both layers are a gate as well: those of the raw rows are
+    counted on the same scan, and keep the silver layer from being published.
+    """
+    suite = expectations.suite_for("bronze", params, cols)
+    if expect and not _has_columns(spark, layers.bronze, suite.required):
+        expectations.require_valid(expectations.validate_table(spark, layers.bronze, "bronze", params, cols))
+    raw, seen = scan(spark, layers.bronze), Observation(f"raw-{uuid.uuid4().hex}")
+    hits = expectations.violations({0: suite}, raw.columns) if expect else {}
+    cleaned = cleansing.cleanse_observed(raw, seen, params, cols, compat, hits)
+
+    def raw_is_valid() -> None:
+        found = seen.get
+        results = expectations.observed_results(spark, found["initial_count"], found, suite, raw.columns, "bronze", layers.bronze)
+        expectations.require_valid(results)
+
+    clean_suite = expectations.suite_for("silver", params, cols, compat) if expect else None
+    gate = raw_is_valid if expect else lambda: None
+    stored = store_checked(cleaned, layers.silver, cleansing.post_clean_rules(cols), clean_suite, "silver", gate)
+    return stored, cleansing.observed_metrics(seen)
+
+
+def _has_columns(spark: SparkSession, table: str, required: tuple[str, ...]) -> bool:
+    try:
+        return set(required) <= set(scan(spark, table).columns)
+    except AnalysisException:
+        return False
 
 
 def to_features(
-    spark: SparkSession, layers: Layers, params: Params = DEFAULTS, cols: Columns = CLAIMS
+    spark: SparkSession, layers: Layers, params: Params = DEFAULTS, cols: Columns = CLAIMS, expect: bool = False
 ) -> DataFrame:
     silver = scan(spark, layers.silver)
     small = key_count_at_most(silver, cols.provider, params.broadcast_max_rows)
     built = feature_ops.features(silver, cols, params, small=small)
-    return store_checked(built, layers.features, lambda df: feature_ops.feature_checks(df, params))
+    suite = expectations.suite_for("features", params, cols) if expect else None
+    return store_checked(built, layers.features, feature_ops.feature_rules(params), suite, "features")
 
 
 def to_model(spark: SparkSession, layers: Layers, model_path: str, params: Params = DEFAULTS) -> model.Fitted:
@@ -85,17 +141,14 @@ def to_gold(
     """Score the features with the first model found (for example production, then staging)."""
     _, centroids = model.load(spark, *model_paths)
     scored = scoring.gold(scan(spark, layers.features), centroids, params, refit_scale)
-    return store_checked(scored, layers.gold, lambda df: scoring.gold_checks(df, params))
+    return store_checked(scored, layers.gold, scoring.gold_rules(params))
 
 
 def run(
     spark: SparkSession, layers: Layers, model_path: str, params: Params = DEFAULTS, cols: Columns = CLAIMS
 ) -> DataFrame:
-    """Bronze to gold, with the expectations of each layer as a gate in between."""
-    expectations.require_valid(expectations.validate_table(spark, layers.bronze, "bronze", params, cols))
-    to_silver(spark, layers, params, cols)
-    expectations.require_valid(expectations.validate_table(spark, layers.silver, "silver", params, cols))
-    to_features(spark, layers, params, cols)
-    expectations.require_valid(expectations.validate_table(spark, layers.features, "features", params, cols))
+    """Bronze to gold; the expectations of each layer are a gate, counted on the scan that writes the next."""
+    silver_with_metrics(spark, layers, params, cols, expect=True)
+    to_features(spark, layers, params, cols, expect=True)
     to_model(spark, layers, model_path, params)
     return to_gold(spark, layers, model_path, params=params)

@@ -49,6 +49,43 @@ def test_feature_gate(spark, claim_frame):
     assert not spark.catalog.tableExists(layers.features)
 
 
+def counted(df, seen):
+    """The same rows; ``seen`` counts how often one is read."""
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(look, df.schema)
+
+
+def test_checks_and_metrics_are_counted_while_writing(spark, raw, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    layers = Layers(*[str(tmp_path / n) for n in ("bronze", "silver", "features", "gold", "metrics")])
+    tables.write_layer(raw, layers.bronze)
+    monkeypatch.setattr(medallion, "scan", lambda s, name: counted(tables.scan(s, name), seen) if name == layers.bronze else tables.scan(s, name))
+    stored, metrics = medallion.silver_with_metrics(spark, layers, expect=True)
+    assert seen.value == raw.count()
+    assert metrics == cleansing.cleansing_metrics(raw).first().asDict()
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, cleansing.cleanse(raw).collect()))
+
+
+def test_expectations_of_the_raw_rows_keep_silver_from_being_published(spark, claim_frame):
+    layers = Layers("expect_bronze", "expect_silver", "expect_features", "expect_gold", "expect_metrics")
+    rows = [("A", "P", "H", "I10", None, "S"), ("A", "P", "H", "I10", None, "S"), ("B", "P", "H", "I10", 2.0, "S")]
+    tables.write_layer(claim_frame(rows), layers.bronze)
+    with pytest.raises(ValueError, match="billed_amount_populated"):
+        medallion.run(spark, layers, "unused")
+    assert not spark.catalog.tableExists(layers.silver)
+    medallion.to_silver(spark, layers)
+    assert tables.scan(spark, layers.silver).count() == 1
+    tables.write_layer(claim_frame(rows).drop("billed_amount"), "narrow_bronze")
+    for name, problem in (("narrow_bronze", "required_columns_exist"), ("no_such_bronze", "table_exists")):
+        with pytest.raises(ValueError, match=problem):
+            medallion.run(spark, Layers(name, "narrow_silver"), "unused")
+
+
 def test_gold_needs_a_model(spark, tmp_path):
     with pytest.raises(ValueError, match="no model"):
         medallion.to_gold(spark, Layers(), str(tmp_path / "production"), str(tmp_path / "staging"))
