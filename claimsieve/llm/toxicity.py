@@ -19,16 +19,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimsieve.llm.common import columns_of, owners, ranges, raw_texts, slices
+from claimsieve.llm.common import KEY, columns_of, ranges, raw_texts, slices, stored, text_key
 
 SENTENCE = re.compile(rb"[.!?\n]+")
 EDGES = b"\"'()[]{}<>,;:*#$%&|-_/"
@@ -40,6 +40,8 @@ class Training:
 
     #: At most so many labelled documents are fitted on; beyond, those with the smallest hashes.
     max_documents: int = 12_000
+    #: And of those as many whole texts, in the order of their hashes, as have at most so many bytes together.
+    max_bytes: int = 64 << 20
     bits: int = 18
     rounds: int = 150
     rate: float = 0.2
@@ -88,17 +90,29 @@ class Bags:
         return max((int(x.max()) + 1 for x in (self.word, self.word_of_feature) if len(x)), default=0)
 
 
-def bags(texts: list[bytes], bits: int) -> Bags:
-    sentences = [[s for s in SENTENCE.split(raw) if s.strip()] for raw in texts]
-    doc = owners([len(s) for s in sentences])
-    words = [s.lower().split() for s in chain.from_iterable(sentences)]
-    lengths = [len(w) for w in words]
+def bags(texts: list[bytes], bits: int, keep: bool = True) -> Bags:
+    """One text after the other; its sentences are kept or dropped, its words stay as 32-bit numbers."""
     ids: dict[bytes, int] = {}
-    word = np.fromiter((ids.setdefault(w, len(ids)) for w in chain.from_iterable(words)), np.int64, sum(lengths))
-    features = [word_features(w, bits) for w in ids]
-    sizes = [len(f) for f in features]
-    flat = np.fromiter(chain.from_iterable(features), np.int64, sum(sizes))
-    return Bags(len(texts), doc, owners(lengths), word, flat, owners(sizes), sentences)
+    kept, per_text, lengths, word = [], [], array("i"), array("i")
+    for raw in texts:
+        sentences = [s for s in SENTENCE.split(raw) if s.strip()]
+        for s in sentences:
+            words = s.lower().split()
+            lengths.append(len(words))
+            word.extend([ids.setdefault(w, len(ids)) for w in words])
+        kept.append(sentences if keep else [])
+        per_text.append(len(sentences))
+    features, sizes = array("i"), array("i")
+    for w in ids:
+        found = word_features(w, bits)
+        features.extend(found)
+        sizes.append(len(found))
+    own = [np.repeat(np.arange(len(n), dtype=np.int32), n) for n in (np.array(per_text, np.int32), _ints(lengths), _ints(sizes))]
+    return Bags(len(texts), own[0], own[1], _ints(word), _ints(features), own[2], kept)
+
+
+def _ints(values: array) -> np.ndarray:
+    return np.frombuffer(values, np.int32) if len(values) else np.zeros(0, np.int32)
 
 
 def sentence_logits(b: Bags, model: Model) -> np.ndarray:
@@ -119,24 +133,32 @@ def _only(b: Bags, active: np.ndarray) -> Bags:
     return Bags(b.n_docs, b.doc_of_sentence, b.sentence_of_word[keep], b.word[keep], feature_of, word_of, b.sentences)
 
 
+def documents_of_features(b: Bags, size: int) -> np.ndarray:
+    """In how many documents each feature is, some documents at a time."""
+    doc_of_word = b.doc_of_sentence[b.sentence_of_word]
+    counts = np.bincount(b.word_of_feature, minlength=b.n_words)
+    starts = np.cumsum(counts) - counts
+    found = np.zeros(size, np.int64)
+    at, step = 0, 1 << 19
+    while at < len(doc_of_word):
+        to = int(np.searchsorted(doc_of_word, doc_of_word[min(at + step, len(doc_of_word)) - 1], "right"))
+        pairs = np.unique(doc_of_word[at:to].astype(np.int64) * b.n_words + b.word[at:to])
+        own = pairs % b.n_words
+        seen = np.unique(np.repeat(pairs // b.n_words, counts[own]) * size + b.feature_of[ranges(starts[own], counts[own])])
+        found += np.bincount(seen % size, minlength=size)
+        at = to
+    return found
+
+
 def fit(texts: list[bytes], toxic: np.ndarray, how: Training = Training()) -> Model:
     """Gradient descent (Adam) on the likelihood of the document labels."""
     size = 1 << how.bits
     model = Model(np.zeros(size), -6.0)
     if not len(toxic) or toxic.min() == toxic.max():
         return Model(np.zeros(size), -np.inf)
-    b = bags(texts, how.bits)
+    b = bags(texts, how.bits, keep=False)
     y = toxic.astype(bool)
-    doc_of_word = b.doc_of_sentence[b.sentence_of_word]
-    pairs = np.unique(doc_of_word * b.n_words + b.word)
-    counts = np.bincount(b.word_of_feature, minlength=b.n_words)
-    starts = np.cumsum(counts) - counts
-    own = pairs % b.n_words
-    seen = np.unique(
-        np.repeat(pairs // b.n_words, counts[own]) * size + b.feature_of[ranges(starts[own], counts[own])]
-    )
-    active = np.bincount(seen % size, minlength=size) >= how.min_documents
-    b = _only(b, active)
+    b = _only(b, documents_of_features(b, size) >= how.min_documents)
 
     weights, bias = model.weights, model.bias
     m, v = np.zeros(size + 1), np.zeros(size + 1)
@@ -161,19 +183,31 @@ def held_out(doc_id: str, folds: int = 5) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> DataFrame:
-    """At most ``max_documents`` (text, toxic) rows that are not held out, those with the smallest hashes."""
+    """(text, toxic) of at most ``max_documents`` labelled ids that are not held out, and at most ``max_bytes`` of text.
+
+    Those with the smallest hashes; of the rows with one id, the one with the smallest text hash.
+    """
     taught = labels.select(F.col("doc_id").alias("_id"), "toxic").where("toxic is not null")
     taught = taught.where(~held_out("_id", how.folds)).groupBy("_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.lit(how.seed), "_id")
-    taught = taught.orderBy(order, "_id").limit(how.max_documents)
-    return docs.join(taught, F.col("doc_id") == F.col("_id")).select("text", F.col("toxic").cast("int").alias("toxic"))
+    taught = stored(taught.orderBy(order, "_id").limit(how.max_documents), "taught")
+    keyed = docs.select("doc_id", text_key(), "text")
+    sizes = keyed.select("doc_id", KEY, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    one = sizes.join(F.broadcast(taught), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(F.min(F.struct(KEY, "size")).alias("row"))
+    # At most max_documents rows of fixed width.
+    so_far = F.sum("row.size").over(Window.orderBy(order, "_id"))
+    chosen = one.withColumn("so_far", so_far).where(F.col("so_far") <= how.max_bytes)
+    chosen = stored(chosen.join(taught, "_id").select("_id", F.col(f"row.{KEY}").alias("_key"), "toxic"), "chosen")
+    rows = keyed.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col(KEY) == F.col("_key")))
+    return rows.dropDuplicates(["_id"]).select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Model:
     """Fit on the bounded sample; its texts are the only rows that reach the driver."""
     rows = training_rows(docs, labels, how).toArrow().sort_by([("toxic", "ascending"), ("text", "ascending")])
-    texts = [x or b"" for x in rows.column("text").cast(pa.binary()).to_pylist()]
-    return fit(texts, rows.column("toxic").to_numpy(), how)
+    texts, toxic = [x or b"" for x in rows.column("text").cast(pa.binary()).to_pylist()], rows.column("toxic").to_numpy()
+    del rows
+    return fit(texts, toxic, how)
 
 
 RESULT = "doc_id long, score double, n_sentences long, n_offending long, worst_score double, worst_sentence string"
