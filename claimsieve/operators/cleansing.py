@@ -60,6 +60,19 @@ def cleanse(df: DataFrame, params: Params = DEFAULTS, cols: Columns = CLAIMS, co
     return df.transform(drop_exact_duplicates).transform(_rules, params, cols, compat)
 
 
+def cleanse_counted(
+    different: DataFrame, params: Params = DEFAULTS, cols: Columns = CLAIMS, compat: bool = False
+) -> DataFrame:
+    """:func:`cleanse` of the rows of :func:`with_copies`.
+
+    The filters stay above the exchange, so that whatever else reads all raw rows can share it.
+    """
+    raw = different.drop(COPIES).columns
+    there = F.when(F.col(COPIES) > 0, F.lit(True))
+    held = different.select(*[F.when(there, F.col(c)).alias(c) if c in (cols.code, cols.amount) else F.col(c) for c in raw])
+    return held.transform(_rules, params, cols, compat)
+
+
 def _rules(different: DataFrame, params: Params, cols: Columns, compat: bool) -> DataFrame:
     cap = F.lit(float(params.max_billed_amount))
     return (

@@ -99,11 +99,16 @@ def evaluate(df: DataFrame, suite: Suite) -> DataFrame:
     return evaluate_all(df, {0: suite}).drop("suite_no")
 
 
-def evaluate_all(df: DataFrame, suites: dict[int, Suite]) -> DataFrame:
-    """The checks of several suites over one table, all counted in one aggregation."""
-    hits = violations(suites, df.columns)
-    counted = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(hit).alias(name) for name, hit in hits.items()])
-    return _results(counted, suites, df.columns)
+def evaluate_all(df: DataFrame, suites: dict[int, Suite], times: str | None = None) -> DataFrame:
+    """The checks of several suites over one table, all counted in one aggregation.
+
+    ``times`` names a column that says for how many equal rows one stands.
+    """
+    columns = [c for c in df.columns if c != times]
+    hits = {name: F.coalesce(hit, F.lit(False)) for name, hit in violations(suites, columns).items()}
+    each = F.lit(1) if times is None else F.col(times)
+    total = [F.coalesce(F.sum(F.when(hit, each)), F.lit(0)).alias(name) for name, hit in (("_n", F.lit(True)), *hits.items())]
+    return _results(df.agg(*total), suites, columns)
 
 
 def violations(suites: dict[int, Suite], columns: Sequence[str]) -> dict[str, Column]:
@@ -196,11 +201,16 @@ def check_layer(
 
 
 def check_layers(
-    df: DataFrame, layers: Sequence[tuple[str, str]], params: Params = DEFAULTS, cols: Columns = CLAIMS
+    df: DataFrame,
+    layers: Sequence[tuple[str, str]],
+    params: Params = DEFAULTS,
+    cols: Columns = CLAIMS,
+    times: str | None = None,
 ) -> DataFrame:
     """Results of several known layers' suites, (layer, table name) each, over one table in one aggregation.
 
-    A table that carries another layer's rows and columns unchanged can answer for both.
+    A table that carries another layer's rows and columns unchanged can answer for both. ``times`` as
+    in :func:`evaluate_all`.
     """
     suites = {no: suite_for(layer, params, cols) for no, (layer, _) in enumerate(layers)}
     unknown = [layers[no][0] for no, suite in suites.items() if suite is None]
@@ -208,7 +218,7 @@ def check_layers(
         raise ValueError("no checks for layers " + ", ".join(unknown))
     which = F.col("suite_no") + 1
     names = [F.element_at(F.array(*[F.lit(pair[i]) for pair in layers]), which) for i in (0, 1)]
-    found = evaluate_all(df, suites)
+    found = evaluate_all(df, suites, times)
     return found.select(names[0].alias("layer"), names[1].alias("table_name"), *RESULT_COLUMNS)
 
 

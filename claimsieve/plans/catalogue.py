@@ -8,6 +8,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from claimsieve.functions.money import minor_units
 from claimsieve.operators import cleansing, clusters, expectations, model, monitoring, reports, scoring
@@ -146,12 +147,13 @@ def all_results(spark: SparkSession, folder: str) -> DataFrame:
     """All layers, and the raw rows held against the silver checks, which they fail.
 
     One aggregation over the raw rows answers both of their suites, and one over the features those
-    of the two built layers.
+    of the two built layers. Both read one exchange of the different raw rows with their copies.
     """
-    raw, built = bronze(spark, folder), features(spark, folder)
+    raw = cleansing.with_copies(bronze(spark, folder))
+    built = feat.features(cleansing.cleanse_counted(raw), small=providers_fit(spark, folder))
     return expectations.union_results(
         [
-            expectations.check_layers(raw, [("bronze", "claims_bronze"), ("silver", "claims_bronze")]),
+            expectations.check_layers(raw, [("bronze", "claims_bronze"), ("silver", "claims_bronze")], times=cleansing.COPIES),
             expectations.check_layers(built, [("silver", "claims_silver"), ("features", "claims_features")]),
         ]
     )
@@ -253,13 +255,20 @@ def _measured(spark: SparkSession, folder: str, measure: Callable[[model.Fitted]
 # --- streams ------------------------------------------------------------------------------
 
 
-def _claim_stream(spark: SparkSession, folder: str, arrivals: str) -> DataFrame:
+def _claim_stream(spark: SparkSession, folder: str, arrivals: str, period: str = "yyyy-MM-dd") -> DataFrame:
     """Order lines as a file stream; the orders are a stored table beside it."""
     lines = scorer.read_files(spark, f"{arrivals}/*", table(spark, folder, "lineitem").schema)
-    return scorer.clean_stream(claims.claims_from_line_items(lines, table(spark, folder, "orders")))
+    return scorer.clean_stream(claims.claims_from_line_items(lines, table(spark, folder, "orders")), period=period)
 
 
-def _delivered(spark: SparkSession, folder: str, label: str, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _delivered(
+    spark: SparkSession,
+    folder: str,
+    label: str,
+    shape: Callable[[DataFrame], DataFrame],
+    write: Callable[[DataFrame, str, str], StreamingQuery] = scorer.write_new,
+    period: str = "yyyy-MM-dd",
+) -> DataFrame:
     """Two deliveries, each processed by a run of its own: odd orders first, then even ones and some odd ones again.
 
     Both hold dates from the whole range, so the second one is late throughout.
@@ -269,8 +278,8 @@ def _delivered(spark: SparkSession, folder: str, label: str, shape: Callable[[Da
     key = F.col("l_orderkey")
     for i, part in enumerate((key % 2 == 1, (key % 2 == 0) | (key % 7 == 1))):
         lines.filter(part).write.parquet(f"{arrivals}/delivery={i}")
-        stream = shape(_claim_stream(spark, folder, arrivals))
-        scorer.write_new(stream, target, progress).awaitTermination()
+        stream = shape(_claim_stream(spark, folder, arrivals, period))
+        write(stream, target, progress).awaitTermination()
     return scorer.read_target(spark, target, stream.schema)
 
 
@@ -278,6 +287,16 @@ def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
     return _delivered(spark, folder, "stream-silver", lambda stream: stream)
 
 
+def stream_silver_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with copies of the last three years' records found in state, and only older ones in the target."""
+    three_years = 3 * 365 * 86_400
+
+    def write(stream: DataFrame, target: str, progress: str) -> StreamingQuery:
+        return scorer.write_new_by_state(stream, target, progress, CLAIMS.event_time, three_years)
+
+    return _delivered(spark, folder, "stream-state", lambda stream: stream, write, "yyyy-MM")
+
+
 def stream_gold(spark: SparkSession, folder: str) -> DataFrame:
     """Score the stream with the baseline, scale and anomaly cluster of the stored records."""
     clean = tables.stage(silver(spark, folder), "silver")
@@ -408,5 +427,6 @@ def queries() -> dict[str, Query]:
         "gold_anomalies": gold_anomalies,
         # streams
         "stream_silver": stream_silver,
+        "stream_silver_state": stream_silver_state,
         "stream_gold": stream_gold,
     }

@@ -685,6 +685,7 @@ FROM (SELECT round(silhouette_sq, 4) AS v FROM fitted_measures)""",
         ),
         "gold_anomalies": _over("gold_fitted", "SELECT * FROM gold_fitted"),
         "stream_silver": _over("silver", "SELECT * FROM silver"),
+        "stream_silver_state": _over("silver", "SELECT * FROM silver"),
         "stream_gold": _over("gold", "SELECT * FROM gold"),
         "silhouette_check_fixed": (
             tail_silhouette.replace("SELECT round(avg(", "SELECT v AS silhouette, v > 0.5::DOUBLE AS on_target, v < 0.3::DOUBLE AS alert FROM (SELECT round(avg(")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,6 +120,83 @@ def write_new(stream: DataFrame, target: str, progress: str) -> StreamingQuery:
     )
 
 
+#: Marks of the stateful writer: the run and batch that wrote a row, whether it came late, when the state saw it.
+BATCH, LATE, SEEN_AT = "_batch", "_late", "_seen_at"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def write_new_by_state(stream: DataFrame, target: str, progress: str, event_time: str, delay_seconds: int) -> StreamingQuery:
+    """As :func:`write_new`, but copies of recent records are found in streaming state, without reading the target.
+
+    Recent is what is at most ``delay_seconds`` older than the newest record of earlier runs: its
+    digests are in the state, which forgets them when they are no longer recent. Only a record that comes later
+    than that, or has no time, is compared with the stored records of its own day. A run is one
+    batch, as the bound between recent and late is fixed when it starts. A batch that is repeated
+    replaces its own files, so every record is stored once.
+    """
+    spark = stream.sparkSession
+    schema = stream.schema
+    name, bound = _note(spark, progress)
+    known = F.lit(bound).cast("timestamp")  # NULL before the first run
+    when = F.col(event_time)
+    # Without a progress nothing of a filled target is in the state: all of it counts as late.
+    late = when.isNull() | (when < known if bound is not None else F.lit(_exists(spark, target)))
+    seen_at = F.coalesce(F.greatest(when, known), F.lit("1900-01-01 00:00:00").cast("timestamp"))
+    marked = stream.withColumn(LATE, late).withColumn(SEEN_AT, seen_at)
+    once = marked.withWatermark(SEEN_AT, f"{delay_seconds} seconds").dropDuplicatesWithinWatermark([RECORD])
+
+    def append(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        batch = batch.persist()
+        try:
+            own = f"{name}-{number}"
+            newest = batch.agg(F.max(SEEN_AT)).first()[0]
+            if newest is None:
+                return
+            days = [r[0] for r in batch.where(LATE).select(DAY).distinct().collect()]  # of the late records of one batch
+            new = batch
+            if days and _exists(session, target):
+                stored = session.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])).parquet(target)
+                stored = stored.where(F.col(DAY).isin(days) & (F.col(BATCH) != own)).select(RECORD, DAY)
+                again = batch.where(LATE).join(stored, [RECORD, DAY], "left_anti")
+                new = batch.where(~F.col(LATE)).unionByName(again)
+            rows = new.select(*schema.names).withColumn(BATCH, F.lit(own)).hint("rebalance", F.col(DAY))
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(DAY, BATCH).parquet(target)
+            reached = (newest - timedelta(seconds=delay_seconds)).isoformat(" ")
+            _note(session, progress, name, reached if bound is None else max(reached, bound))
+        finally:
+            batch.unpersist()
+
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        return once.writeStream.foreachBatch(append).option("checkpointLocation", progress).trigger(once=True).start()
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
+
+
+def _note(spark: SparkSession, progress: str, name: str | None = None, bound: str | None = None) -> tuple[str, str | None]:
+    """The name of a progress and the bound between late and recent records, kept beside it; with a name it is written."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{progress.rstrip('/')}-bound")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if name is None:
+        begun = _exists(spark, progress)
+        if not begun or not files.exists(path):
+            return uuid.uuid4().hex, None
+        held = files.open(path)
+        found = jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+        held.close()
+        name, _, bound = found.partition("\n")
+        return name, bound
+    out = files.create(path, True)
+    out.write(bytearray(f"{name}\n{bound}".encode()))
+    out.close()
+    return name, bound
+
+
 def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

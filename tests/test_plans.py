@@ -73,6 +73,12 @@ def test_gold_reads_the_raw_rows_once_and_shares_their_exchanges(spark):
         assert sum("ReusedExchange" in line for line in lines) >= 4
 
 
+def test_all_expectations_read_the_raw_rows_once(spark):
+    lines = lines_that_ran(catalogue.queries()["expectation_report"](spark, SMALL))
+    assert sum("FileScan parquet [l_" in line for line in lines) == 1
+    assert sum("ReusedExchange" in line for line in lines) >= 2
+
+
 def test_amount_range_reaches_the_file_scan(spark, sample, tmp_path):
     path = str(tmp_path / "claims")
     sample.write.parquet(path)

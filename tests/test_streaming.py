@@ -77,3 +77,73 @@ def test_a_stream_needs_the_trained_scale(spark, arrivals):
     stream = scorer.read_files(spark, f"{folder}/part-*", timed.schema)
     with pytest.raises(ValueError, match="scale"):
         scorer.score_stream(stream, spark.range(1), BAND, 1)
+
+
+def deliver_by_state(spark, timed, parts, tmp_path, delay=86_400):
+    into, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(into)
+        stream = scorer.clean_stream(scorer.read_files(spark, into, timed.schema))
+        scorer.write_new_by_state(stream, target, progress, "service_ts", delay).awaitTermination()
+    return scorer.read_target(spark, target, stream.schema)
+
+
+def test_state_and_late_records_give_what_a_batch_gives(spark, arrivals, tmp_path):
+    """Each delivery repeats records of the ones before, some within the delay and some long after it, some without a time."""
+    _, timed = arrivals
+    rows = timed.withColumn("service_ts", F.when(F.col("claim_id") != "C7", F.col("service_ts")))
+    key = F.substring("claim_id", 2, 8).cast("int")
+    parts = [rows.filter(key.between(100, 300)), rows.filter(key.between(0, 450)), rows.filter(key >= 0), rows.filter(key % 3 == 0)]
+    got = deliver_by_state(spark, timed, [p.unionAll(p.limit(20)) for p in parts], tmp_path)
+    assert rows_of(got.select(timed.columns)) == rows_of(cleansing.cleanse(rows).select(timed.columns))
+    assert spark.conf.get(scorer.STATE_STORE, None) != scorer.ROCKS_DB
+    offsets = max((tmp_path / "progress" / "offsets").glob("[0-9]*"), key=lambda f: int(f.name)).read_text()
+    assert "RocksDBStateStoreProvider" in offsets
+
+
+def test_recent_days_are_not_read(spark, arrivals, tmp_path):
+    """What is stored of the recent days cannot be read, and copies of it are found all the same."""
+    _, timed = arrivals
+    key = F.substring("claim_id", 2, 8).cast("int")
+    first = deliver_by_state(spark, timed, [timed.filter(key >= 400)], tmp_path).count()
+    hidden = 0
+    for file in (tmp_path / "out").rglob("*.parquet"):
+        file.write_bytes(b"not a parquet file")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        hidden += 1
+    before = set((tmp_path / "out").rglob("*.parquet"))
+    again = timed.filter((key >= 500) & (key % 2 == 0)).unionAll(timed.filter(key == 599).withColumn("claim_id", F.lit("C9999")))
+    again.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = scorer.clean_stream(scorer.read_files(spark, str(tmp_path / "in"), timed.schema))
+    scorer.write_new_by_state(stream, str(tmp_path / "out"), str(tmp_path / "progress"), "service_ts", 86_400).awaitTermination()
+    new = [str(f) for f in set((tmp_path / "out").rglob("*.parquet")) - before]
+    assert first > 100 and hidden and spark.read.parquet(*new).select("claim_id").collect() == [("C9999",)]
+
+
+def test_a_lost_progress_compares_with_the_target(spark, arrivals, tmp_path):
+    _, timed = arrivals
+    deliver_by_state(spark, timed, [timed], tmp_path)
+    stream = scorer.clean_stream(scorer.read_files(spark, str(tmp_path / "in"), timed.schema))
+    scorer.write_new_by_state(stream, str(tmp_path / "out"), str(tmp_path / "other"), "service_ts", 86_400).awaitTermination()
+    got = scorer.read_target(spark, str(tmp_path / "out"), stream.schema)
+    assert rows_of(got.select(timed.columns)) == rows_of(cleansing.cleanse(timed).select(timed.columns))
+
+
+def test_a_repeated_batch_is_stored_once(spark, arrivals, tmp_path, monkeypatch):
+    """The batch is written, then the run fails before its progress is."""
+    _, timed = arrivals
+    key = F.substring("claim_id", 2, 8).cast("int")
+    deliver_by_state(spark, timed, [timed.filter(key >= 450)], tmp_path)
+    note = scorer._note
+
+    def broken(session, progress, name=None, bound=None):
+        if name is not None:
+            raise RuntimeError("lost")
+        return note(session, progress)
+
+    monkeypatch.setattr(scorer, "_note", broken)
+    with pytest.raises(Exception, match="lost"):
+        deliver_by_state(spark, timed, [timed], tmp_path)
+    monkeypatch.undo()
+    got = deliver_by_state(spark, timed, [timed.limit(3)], tmp_path)
+    assert rows_of(got.select(timed.columns)) == rows_of(cleansing.cleanse(timed).select(timed.columns))
