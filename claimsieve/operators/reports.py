@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsieve.params import CLAIMS, DEFAULTS, Columns, Params
+from claimsieve.sources.tables import newest_values
 
 FLAGGED = "is_anomaly"
 
@@ -78,6 +81,22 @@ def recent_anomaly_alert(gold: DataFrame, threshold: float = 0.10, cols: Columns
     ).withColumn("alert", F.col("anomaly_rate") > threshold)
 
 
+def stored_recent_anomaly_alert(
+    spark: SparkSession, folder: str, day: str = "day", threshold: float = 0.10, cols: Columns = CLAIMS
+) -> DataFrame:
+    """:func:`recent_anomaly_alert` over a gold layer that is partitioned by day (yyyy-MM-dd).
+
+    The names of the folders tell the newest day; the day before it is the only other one that the last
+    24 hours can reach, so older days are neither listed nor read.
+    """
+    days = newest_values(spark, folder, day, 2)
+    if not days:
+        raise ValueError(f"no day is stored in {folder}")
+    since = (date.fromisoformat(days[-1]) - timedelta(days=1)).isoformat()
+    paths = [f"{folder.rstrip('/')}/{day}={d}" for d in days if d >= since]
+    return recent_anomaly_alert(spark.read.option("basePath", folder).parquet(*paths), threshold, cols)
+
+
 def flagged_claims(gold: DataFrame, columns: tuple[str, ...], order: tuple[str, ...], n: int = 10) -> DataFrame:
     """The first flagged rows in key order."""
     return gold.filter(FLAGGED).select(*columns).orderBy(*order).limit(n)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimsieve.functions.money import minor_units
-from claimsieve.operators import cleansing, clusters, expectations, model, monitoring, reports, scoring
+from claimsieve.operators import cleansing, clusters, drift, expectations, model, monitoring, reports, scoring
 from claimsieve.operators import features as feat
 from claimsieve.params import BAD_CODES, CLAIMS, DEFAULTS, Columns
 from claimsieve.plans import increments
@@ -252,6 +252,30 @@ def _measured(spark: SparkSession, folder: str, measure: Callable[[model.Fitted]
     return spark.createDataFrame([tuple(row)], found.schema)
 
 
+# --- stored layers and sketches -----------------------------------------------------------
+
+
+def stored_recent_anomaly_alert(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the gold rows of the last months by day, read the newest two days of them back."""
+    target = tables.new_folder(spark, "gold-by-day")
+    scored = gold(spark, folder).where(F.col("service_ts") >= "2001-09-01")
+    tables.write_layer(scored.withColumn("day", F.date_format("service_ts", "yyyy-MM-dd")), target, partition_by=("day",))
+    return reports.stored_recent_anomaly_alert(spark, target)
+
+
+def drift_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly sketches of 1996 and of the raw amounts, merged and held against those of the records before 1996."""
+    clean = tables.stage(complete(spark, folder).select(*DEFAULTS.feature_columns, "service_ts"), "drift")
+    before = drift.sketches(clean.where(F.col("service_ts") < "1996-01-01"), DEFAULTS.feature_columns)
+    month = F.date_format("service_ts", "yyyy-MM").alias("month")
+    later = clean.where(F.year("service_ts") == 1996).select(*DEFAULTS.feature_columns, month)
+    monthly = tables.stage(drift.sketches(later, DEFAULTS.feature_columns, ("month",)), "sketches")
+    raw = bronze(spark, folder).withColumn("billed_amount", F.abs("billed_amount") * 2)
+    found = drift.merged(monthly).withColumn("layer", F.lit("claims_features"))
+    found = found.unionByName(drift.sketches(raw, ("billed_amount",)).withColumn("layer", F.lit("claims_bronze")))
+    return drift.drift_check(found, before, by=("layer",)).select("layer", "feature", F.col("n").alias("n_rows"), "alert")
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
@@ -414,6 +438,8 @@ def queries() -> dict[str, Query]:
         "null_share_check": lambda s, d: monitoring.null_share_check(
             features(s, d), (*feat.BASELINE_COLUMNS, feat.RATIO, feat.Z, feat.ABOVE)
         ),
+        "drift_check": drift_check,
+        "stored_recent_anomaly_alert": stored_recent_anomaly_alert,
         "silhouette_check_fixed": lambda s, d: monitoring.silhouette_check(
             rounded(clusters.silhouette_squared(assigned(s, d, TAIL, keep=True), TAIL)), "silhouette_sq"
         ),

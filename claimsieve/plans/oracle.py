@@ -432,6 +432,25 @@ def _rounded(value: str) -> str:
     return f"CASE WHEN round({value}, 6) = 0 THEN 0::DOUBLE ELSE round({value}, 6) END"
 
 
+#: Layer, feature, its rows now as (value), and the training rows are those before 1996.
+DRIFTS = [
+    *[("claims_features", c, f"SELECT {c} AS v FROM complete WHERE year(service_ts) = 1996") for c in _FEATURES],
+    ("claims_bronze", "billed_amount", "SELECT abs(billed_amount) * 2 AS v FROM bronze"),
+]
+
+
+def _drift(compared: tuple[str, str, str]) -> str:
+    """The exact largest difference of two cumulative shares against the threshold."""
+    layer, feature, now = compared
+    return f"""
+SELECT '{layer}' AS layer, '{feature}' AS feature, any_value(n_all)::BIGINT AS n_rows, max(abs(a - b)) > 0.1 AS alert
+FROM (SELECT sum(o) OVER w / sum(o) OVER () AS a, sum(n) OVER w / sum(n) OVER () AS b, sum(n) OVER () AS n_all
+      FROM (SELECT v, sum(o) AS o, sum(n) AS n
+            FROM (SELECT {feature} AS v, 1 AS o, 0 AS n FROM complete WHERE service_ts < '1996-01-01'
+                  UNION ALL SELECT v, 0, 1 FROM ({now}))
+            GROUP BY v) WINDOW w AS (ORDER BY v))"""
+
+
 _RATE = "count(*) FILTER (WHERE is_anomaly) / count(*)"
 _ID = "claim_id, patient_id, hospital_id, service_ts"
 _BASELINE = "hosp_avg_billed, hosp_min_billed, hosp_max_billed, hosp_stddev_billed, hosp_claim_count"
@@ -629,6 +648,14 @@ FROM (SELECT count(*) AS recent_claims, count(*) FILTER (WHERE is_anomaly) AS an
              coalesce(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0), 0::DOUBLE) AS rate
       FROM gold WHERE service_ts >= (SELECT max(service_ts) FROM gold) - INTERVAL 1 DAY)""",
         ),
+        "stored_recent_anomaly_alert": _over(
+            "gold",
+            """SELECT recent_claims, anomalies, rate AS anomaly_rate, rate > 0.1::DOUBLE AS alert
+FROM (SELECT count(*) AS recent_claims, count(*) FILTER (WHERE is_anomaly) AS anomalies,
+             coalesce(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0), 0::DOUBLE) AS rate
+      FROM gold WHERE service_ts >= (SELECT max(service_ts) FROM gold) - INTERVAL 1 DAY)""",
+        ),
+        "drift_check": _over("complete", "\nUNION ALL ".join(map(_drift, DRIFTS))),
         "training_size_check": _over(
             "features", "SELECT count(*) AS record_count, count(*) > 1000 AS enough FROM features"
         ),

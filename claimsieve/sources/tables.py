@@ -7,6 +7,7 @@ from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
@@ -32,6 +33,38 @@ def read_fixture(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"no reader for {suffix or 'a path without suffix'}: {path}")
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_rescued(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a JSON or CSV file or folder under a declared schema, from one read.
+
+    A record that does not parse, has a value of another type, or too few or too many fields (CSV) is
+    set aside whole: its text and its file. Both parts are written once, so neither reads the files again.
+    JSON has a record a line, or with ``multi_line`` one array or object a file, which is then good or bad as a whole.
+    """
+    suffix = PurePath(path).suffix
+    if suffix not in (".json", ".csv"):
+        raise ValueError(f"no reader for {suffix or 'a path without suffix'}: {path}")
+    held = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(held).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if suffix == ".json":
+        found = reader.option("multiLine", multi_line).json(path)
+    else:
+        found = reader.option("header", True).csv(path)
+    kept = stage(found.withColumn("_file", F.input_file_name()), "rescued")
+    good = kept.where(F.col(CORRUPT).isNull()).select(*schema.names)
+    return good, kept.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"), F.col("_file").alias("file"))
+
+
+def newest_values(spark: SparkSession, folder: str, column: str, n: int = 1) -> list[str]:
+    """The last ``n`` values of a partition column in text order, from the names of the folders: no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in files.listStatus(path) if x.isDirectory()]
+    return sorted(x.removeprefix(f"{column}=") for x in names if x.startswith(f"{column}=") and "__HIVE_DEFAULT" not in x)[-n:]
+
+
 def write_layer(
     df: DataFrame,
     name: str,

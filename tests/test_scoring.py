@@ -143,3 +143,18 @@ def test_monitoring(spark, gold, sample):
     for value, expected in ((0.6, (True, False)), (0.4, (False, False)), (0.2, (False, True))):
         checked = monitoring.silhouette_check(spark.range(1).select(F.lit(value).alias("silhouette"))).first()
         assert (checked.on_target, checked.alert) == expected
+
+
+def test_the_alert_of_a_stored_layer_reads_the_newest_days(spark, gold, tmp_path):
+    path = str(tmp_path / "gold")
+    gold.withColumn("day", F.to_date("service_ts")).write.partitionBy("day").parquet(path)
+    found = reports.stored_recent_anomaly_alert(spark, path)
+    assert found.first() == reports.recent_anomaly_alert(gold).first()
+    days = sorted(p.name for p in (tmp_path / "gold").glob("day=*"))
+    for old in days[:-2]:
+        for file in (tmp_path / "gold" / old).glob("*.parquet"):
+            file.write_bytes(b"not a parquet file")
+    assert len(days) > 3 and reports.stored_recent_anomaly_alert(spark, path).first() == reports.recent_anomaly_alert(gold).first()
+    assert {file.split("/")[-2] for file in found.inputFiles()} == set(days[-2:])
+    with pytest.raises(ValueError, match="no day"):
+        reports.stored_recent_anomaly_alert(spark, str(tmp_path))

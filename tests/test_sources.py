@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimsieve.session import cluster_settings
 from claimsieve.sources import claims, tables
@@ -25,6 +26,25 @@ def test_fixture_readers(spark, tmp_path):
         tables.read_fixture(spark, str(tmp_path / "c.xml"))
 
 
+def test_bad_records_are_set_aside(spark, tmp_path):
+    schema = T.StructType([T.StructField("claim_id", T.StringType()), T.StructField("billed_amount", T.DoubleType())])
+    lines = ['{"claim_id": "A", "billed_amount": 1.5}', '{"claim_id": "B", "billed_amount": "much"}', '{"claim_id": "C"', '{"claim_id": "D"}']
+    (tmp_path / "c.json").write_text("\n".join(lines))
+    (tmp_path / "c.csv").write_text("claim_id,billed_amount\nA,1.5\nB,much\nC,2,3\nD\nE,\n")
+    (tmp_path / "whole.json").write_text('[{"claim_id": "A", "billed_amount": 1}, {"claim_id": "B", "billed_amount": 2}]')
+    for name, kept, set_aside in (("c.json", ["A", "D"], lines[1:3]), ("c.csv", ["A", "E"], ["B,much", "C,2,3", "D"])):
+        good, bad = tables.read_rescued(spark, str(tmp_path / name), schema)
+        assert good.schema.simpleString() == schema.simpleString()
+        assert sorted(r.claim_id for r in good.collect()) == kept
+        assert sorted(r.record for r in bad.collect()) == set_aside
+        assert all(r.file.endswith(name) for r in bad.collect())
+        assert good.count() + bad.count() == len(kept) + len(set_aside)
+    good, bad = tables.read_rescued(spark, str(tmp_path / "whole.json"), schema, multi_line=True)
+    assert good.count() == 2 and bad.count() == 0
+    with pytest.raises(ValueError, match=".xml"):
+        tables.read_rescued(spark, str(tmp_path / "c.xml"), schema)
+
+
 def test_table_names():
     assert tables.full_table_name("t", "db") == "db.t"
     assert tables.full_table_name("t", catalog="c", schema="s") == "c.s.t"
