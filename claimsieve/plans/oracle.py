@@ -486,6 +486,12 @@ FROM (SELECT * FROM bronze UNION ALL SELECT * EXCLUDE (l_orderkey) FROM injected
             """SELECT strftime(service_ts, '%Y-%m') AS claim_month, count(*) AS n_rows,
        CAST(sum(CAST(round(billed_amount * 100) AS BIGINT)) AS BIGINT) AS total_cents
 FROM bronze WHERE strftime(service_ts, '%Y-%m') BETWEEN '1995-03' AND '1995-05' GROUP BY 1""",
+        ),
+        "clustered_scan": _over(
+            "bronze",
+            """SELECT hospital_id, count(*) AS n_rows, CAST(sum(CAST(round(billed_amount * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM bronze WHERE hospital_id BETWEEN 'HOSP-000001' AND 'HOSP-000004' OR strftime(service_ts, '%Y-%m') BETWEEN '1995-03' AND '1995-05'
+GROUP BY 1""",
         ),
         "gold_sample": _over(
             "gold",
