@@ -79,7 +79,7 @@ def test_a_failed_check_changes_no_day(spark, tmp_path):
     assert increments.store_days(spark.createDataFrame([(7, "d1"), (8, "d9")], f"id long, {DAY} string"), target, check) == ["d1", "d9"]
     got = sorted((r.id, r[DAY]) for r in increments.stored(spark, target).collect() if r[DAY] in ("d1", "d9"))
     assert got == [(7, "d1"), (8, "d9")]
-    assert {f for f in files_of(target) if "d0" in f or "d2" in f} <= set(before)
+    assert {f for f in files_of(target) if f"{DAY}=d0" in f or f"{DAY}=d2" in f} <= set(before)
     assert increments.store_days(rows.limit(0), target, check) == []
 
 
