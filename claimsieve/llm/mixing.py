@@ -14,7 +14,7 @@ tell which one holds the end of the draw, and only that bucket's rows are ordere
 Defined results: NULL and empty texts have size 0; NULL is a source of its own, last in order; an id
 of NULL is drawn by its text; equal rows (same id, text and source) are drawn together; sources
 without words or weight have target 0; an empty table gives an empty result; further columns are
-kept by ``mix`` and ignored by ``plan`` (the names _size, _source, _draw, _mix and _copy are taken).
+kept by ``mix``, whatever their names, and ignored by ``plan``.
 """
 
 from __future__ import annotations
@@ -170,9 +170,12 @@ def mix(docs: DataFrame, how: Mix = Mix(), weights: DataFrame | None = None, id_
     """The rows of ``docs`` with all their columns, each as often as the mixture takes it."""
     _, sources = targets(docs, how, weights, id_col=id_col, text_col=text_col, source_col=source_col)
     values = sources.select("source", F.struct("whole", "part", "single_above", "cut").alias("_mix"))
-    rows = _by_source(_measured(docs, id_col, text_col, source_col, how.seed), values)
-    rows = rows.select(*docs.columns, SIZE, DRAW, SOURCE, "_mix")
+    # The table's columns go by their places meanwhile, so that none can have a name that is used here.
+    place = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
+    held = docs.toDF(*place.values())
+    used = [place[c.lower()] for c in (id_col, text_col, source_col)]
+    rows = _by_source(_measured(held, *used, how.seed), values)
     extra = F.when(F.col(SIZE) > F.col("_mix.single_above"), F.col(DRAW) < F.col("_mix.part") * float(1 << DRAW_BITS))
     times = F.col("_mix.whole") + extra.otherwise(F.col(DRAW) <= F.col("_mix.cut")).cast("long")
     copies = F.when(times > 0, F.sequence(F.lit(1), times.cast("int")))
-    return rows.withColumn("_copy", F.explode(copies)).select(*docs.columns)
+    return rows.withColumn("_copy", F.explode(copies)).select(*held.columns).toDF(*docs.columns)

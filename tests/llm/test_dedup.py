@@ -135,3 +135,29 @@ def test_one_row_of_every_component_stays(spark):
     left = simhash.without_near_duplicates(frame(spark, data)).collect()
     assert len(left) == len({r.component_id for r in all_of})
     assert sorted((r.doc_id for r in left), key=repr) == sorted({r.component_id for r in all_of}, key=repr)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    """Names that the operators use inside, some in capitals."""
+    from pyspark.sql import functions as F
+
+    from claimsieve.llm import mixing
+
+    names = ("_id", "_KEY", "_text_hash", "_size", "_source", "_mix", "_copy", "_of", "_draw", "_first", "_component", "C0", "bucket", "kept")
+    data = rows(40)
+    docs = frame(spark, data).select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    for act in (exact_dedup.without_copies, simhash.without_near_duplicates, mixing.mix):
+        left = act(docs)
+        assert left.columns == docs.columns
+        got = left.where("doc_id IS NOT NULL").collect()
+        assert got and all(r[n] == f"{n}{r.doc_id}" for r in got for n in names), act.__name__
+
+
+def test_texts_longer_than_a_slice(spark):
+    long = "alpha beta gamma delta epsilon " * 100_000
+    data = [(1, long, "en", "a", 1), (2, long.replace(" ", "  "), "en", "a", 1), (3, long[:-8] + "other end.", "en", "b", 1), (4, "short", "en", "b", 1)]
+    docs = frame(spark, data)
+    assert {r.doc_id: r.keep_id for r in exact_dedup.exact_groups(docs).collect()} == {1: 2, 2: 2, 3: 3, 4: 4}
+    got = {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert {d: f for d, (f, _) in got.items()} == {r[0]: plain_fingerprint(r[1]) for r in data}
+    assert got[3][1] == got[2][1] == 1
