@@ -1,12 +1,18 @@
 """License notices in texts: MinHash bands over overlapping windows retrieve templates, containment verifies.
 
 Everything is DataFrame expressions. Texts become lower-case words of letters and digits and these
-become hashes of five-word shingles. Per class of template length, windows over the shingles overlap
-so far that every run as long as a template, and a quarter longer, lies inside one of them. A window
-that holds enough of a template to match has a Jaccard similarity with it of at least a known value,
-and the number of bands follows from that value and the chance of a miss that is accepted. Windows
-that share a band with a template are compared with it exactly: the share of the template's
-shingles that the window contains.
+become hashes of five-word shingles, once for all templates. Per class of template length, windows
+over the shingles overlap so far that every run as long as a template, and a quarter longer, lies
+inside one of them.
+
+The MinHash of a window takes one hash a shingle: the leading bits of the hash are the band, and the
+smallest hash of a band is its value. The smallest hashes of the bands that the shingles of a window
+and a template occupy are a random draw, without putting back, from those shingles, so a window that
+holds enough of a template to match shares no band value with it with a chance that
+``chance_of_miss`` works out; the number of bands is the least that keeps the accepted one. Windows
+that share a band value with a template are compared with it exactly: the share of the template's
+shingles that the window contains. A band value of a template is one of its shingles, so windows are
+laid only where a text has such a shingle.
 
 Texts are scanned only if they contain one of a few words. The words are chosen so that no match is
 lost: of every template more than a share of ``1 - containment`` of the shingles contain one, so a
@@ -25,7 +31,9 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +41,8 @@ from claimsieve.llm.common import columns_of
 
 SHINGLE = 5
 MAX_TEMPLATES = 2_000
+#: Shingles of all templates together: what is broadcast stays below some 10 MB.
+MAX_SHINGLES = 500_000
 
 # Customary notices, as their licences word them.
 TEMPLATES = (
@@ -69,21 +79,20 @@ TEMPLATES = (
 
 @dataclass(frozen=True)
 class Scan:
-    """Least containment, rows of a band, and the accepted chance to miss a window that matches."""
+    """Least containment, and the accepted chance that a window that matches shares no band with its template."""
 
     containment: float = 0.8
-    band_rows: int = 1
-    miss: float = 1e-4
+    miss: float = 1e-6
 
 
 @dataclass(frozen=True)
 class WindowClass:
-    """Windows for templates of ``most`` shingles at most and more than half of that."""
+    """Windows for templates of ``most`` shingles at most and more than half of that; 2 ** ``band_bits`` bands."""
 
     most: int
     width: int
     stride: int
-    bands: int
+    band_bits: int
 
 
 def plain_words(text: str) -> list[str]:
@@ -94,15 +103,35 @@ def shingles(words: list[str]) -> list[str]:
     return [" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
 
 
+def chance_of_miss(shared: int, others: int, bands: int) -> float:
+    """The chance that no band's smallest hash is one of ``shared`` shingles, where ``others`` are on one side only."""
+    every = shared + others
+    occupied = np.zeros(every + 1)  # occupied[n]: the chance that the shingles so far lie in n bands
+    occupied[0] = 1.0
+    steps = np.arange(every + 1)
+    for _ in range(every):
+        stays = occupied * steps / bands
+        moves = occupied * np.maximum(bands - steps, 0) / bands
+        occupied = stays + np.concatenate([[0.0], moves[:-1]])
+    drawn = np.cumprod(np.maximum(others - steps[:-1], 0) / (every - steps[:-1]))  # n + 1 draws, none of them shared
+    return float(occupied[1:] @ drawn)
+
+
+@cache
 def window_class(n_shingles: int, how: Scan) -> WindowClass:
-    """Width, stride and bands for templates whose size rounds up to the same power of two."""
+    """Width, stride and bands for templates whose size rounds up to the same power of two.
+
+    More shared shingles and fewer others never raise the chance of a miss, so it is taken for the
+    shared ones of the shortest template and the others of the longest.
+    """
     most = 1 << (n_shingles - 1).bit_length()
     least = most // 2 + 1 if most > 1 else 1
     stride = -(-least // 2)
     width = -(-5 * most // 4) + stride - 1
-    similar = how.containment * least / (width + (1 - how.containment) * least)
-    bands = math.ceil(math.log(how.miss) / math.log(1 - similar**how.band_rows)) if similar < 1 else 1
-    return WindowClass(most, width, stride, bands)
+    shared = math.ceil(how.containment * least - 1e-9)
+    others = width - shared + most - math.ceil(how.containment * most - 1e-9)
+    bits = next(b for b in range(1, 62) if chance_of_miss(shared, others, 1 << b) <= how.miss)
+    return WindowClass(most, width, stride, bits)
 
 
 def telling_words(templates: Sequence[tuple[str, str, str]], how: Scan) -> list[str]:
@@ -118,27 +147,37 @@ def telling_words(templates: Sequence[tuple[str, str, str]], how: Scan) -> list[
     return sorted(chosen)
 
 
-def _hash_of(words: Column | str, at: Column) -> Column:
-    return F.xxhash64(F.concat_ws(" ", F.slice(words, at, SHINGLE)))
-
-
 def shingle_hashes(words: str) -> Column:
     n = F.size(words) - (SHINGLE - 1)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: _hash_of(words, i)))
-
-
-def word_list(text: str) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
-
-
-def _least_hash(window: Column, seed: int) -> Column:
-    return F.array_min(F.transform(window, lambda h: F.xxhash64(F.lit(seed), h)))
-
-
-def signature(window: Column, bands: int, rows: int) -> Column:
-    """One value per band: the smallest seeded hashes over the window, ``rows`` of them together."""
-    least = [_least_hash(window, i) for i in range(bands * rows)]
-    return F.array(*[F.xxhash64(F.lit(b), *least[b * rows : (b + 1) * rows]) for b in range(bands)])
+    of_words = lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), of_words))
+
+
+def word_list(lower: str) -> Column:
+    """The words of a lower-case text."""
+    return F.filter(F.split(F.regexp_replace(lower, r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+
+
+def sketch_of(window: Column, band_bits: int) -> Column:
+    """The smallest hash of every band that the window occupies; a band is the leading bits of a hash."""
+    in_order = F.array_sort(F.array_distinct(window))
+    new_band = lambda h, before: F.shiftright(h, 64 - band_bits) != F.shiftright(before, 64 - band_bits)
+    return F.filter(in_order, lambda h, i: (i == 0) | new_band(h, F.get(in_order, i - 1)))
+
+
+def _windows(shingles: str, hits: str, kind: WindowClass, values: list[int]) -> Column:
+    """(most, start, window) for every window of the class that holds one of ``values``; ``hits`` are places."""
+    own = F.filter(hits, lambda i: F.get(shingles, i).isin(values))
+    first = lambda i: F.greatest(F.lit(0), F.ceil((i - (kind.width - 1)) / kind.stride).cast("int"))
+    spots = F.transform(own, lambda i: F.sequence(first(i), F.floor(i / kind.stride).cast("int")))
+    return F.transform(
+        F.array_distinct(F.flatten(spots)),
+        lambda k: F.struct(
+            F.lit(kind.most).alias("most"),
+            (k * kind.stride).alias("start"),
+            F.slice(shingles, k * kind.stride + 1, kind.width).alias("window"),
+        ),
+    )
 
 
 def template_rows(spark: SparkSession, templates: Sequence[tuple[str, str, str]], how: Scan) -> DataFrame:
@@ -151,13 +190,21 @@ def template_rows(spark: SparkSession, templates: Sequence[tuple[str, str, str]]
     ]
     if any(len(plain_words(text)) < SHINGLE for _, _, text in templates):
         raise ValueError(f"a template needs {SHINGLE} words")
-    made = spark.createDataFrame(rows, "template int, license string, notice string, most int, text string")
-    made = made.withColumn("words", word_list("text")).withColumn("parts", F.array_distinct(shingle_hashes("words")))
+    if sum(len(plain_words(text)) for _, _, text in templates) > MAX_SHINGLES:
+        raise ValueError(f"at most {MAX_SHINGLES} shingles of templates")
+    names = ("template", "license", "notice", "most", "text")
+    made = spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows])))
+    made = made.withColumn("text", F.lower("text")).withColumn("words", word_list("text")).withColumn("parts", F.array_distinct(shingle_hashes("words")))
+    return made.withColumn("sketch", _sketch("parts", sorted({r[3] for r in rows}), how)).drop("text", "words")
+
+
+def _sketch(window: str, classes: list[int], how: Scan) -> Column:
+    """The sketch of a window of the row's class ``most``."""
     sketch = F.lit(None).cast("array<long>")
-    for most in sorted({r[3] for r in rows}):
-        bands = window_class(most, how).bands
-        sketch = F.when(F.col("most") == most, signature(F.col("parts"), bands, how.band_rows)).otherwise(sketch)
-    return made.withColumn("sketch", sketch).drop("text", "words")
+    for most in classes:
+        of_class = sketch_of(F.col(window), window_class(most, how).band_bits)
+        sketch = F.when(F.col("most") == most, of_class).otherwise(sketch)
+    return sketch
 
 
 def license_matches(docs: DataFrame, templates: Sequence[tuple[str, str, str]] = TEMPLATES, how: Scan = Scan(),
@@ -165,31 +212,28 @@ def license_matches(docs: DataFrame, templates: Sequence[tuple[str, str, str]] =
     """doc_id, license, notice, containment, first_word and n_windows for every row and template that match."""
     spark = docs.sparkSession
     known = template_rows(spark, templates, how)
-    sketches = known.select("most", "sketch").collect()  # at most MAX_TEMPLATES rows
-    named = columns_of(docs, doc_id=id_col, text=text_col).withColumn("row", F.monotonically_increasing_id())
-    lower = named.withColumn("small", F.lower("text"))
+    sketches = known.select("most", "sketch").collect()  # at most MAX_SHINGLES values
+    values = {most: sorted({v for s in sketches if s["most"] == most for v in s["sketch"]}) for most in {s["most"] for s in sketches}}
+    named = columns_of(docs, doc_id=id_col, text=text_col)
+    lower = named.select("doc_id", F.monotonically_increasing_id().alias("row"), F.lower("text").alias("small"))
     telling = F.lit(False)
     for word in telling_words(templates, how):
         telling = telling | F.col("small").contains(word)
-    parts = lower.where(telling).select("row", "doc_id", word_list("text").alias("words"))
-    parts = parts.select("row", "doc_id", shingle_hashes("words").alias("shingles")).where("shingles is not null")
-    found = None
-    for most in sorted({s["most"] for s in sketches}):
-        kind = window_class(most, how)
-        wanted = sorted({v for s in sketches if s["most"] == most for v in s["sketch"]})
-        starts = F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(kind.stride))
-        windows = parts.select("row", "doc_id", "shingles", F.explode(starts).alias("start"))
-        windows = windows.select("row", "doc_id", "start", F.slice("shingles", F.col("start") + 1, kind.width).alias("window"))
-        windows = windows.withColumn("sketch", signature(F.col("window"), kind.bands, how.band_rows))
-        near = windows.where(F.arrays_overlap("sketch", F.array(*[F.lit(v) for v in wanted])))
-        near = near.withColumn("most", F.lit(kind.most))
-        found = near if found is None else found.unionAll(near)
-    bands = known.select("template", "most", F.explode("sketch").alias("band"))
-    retrieved = found.select("*", F.explode(F.array_distinct("sketch")).alias("band")).join(F.broadcast(bands), ["most", "band"])
-    retrieved = retrieved.dropDuplicates(["row", "doc_id", "start", "template"]).drop("most", "sketch")
+    parts = lower.where(telling).select("row", "doc_id", word_list("small").alias("words"))
+    parts = parts.select("row", "doc_id", shingle_hashes("words").alias("shingles"))
+    known_value = lambda i: F.get("shingles", i).isin(sorted({v for of_class in values.values() for v in of_class}))
+    places = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), known_value)
+    parts = parts.select("row", "doc_id", "shingles", places.alias("hits"))
+    laid = F.concat(*[_windows("shingles", "hits", window_class(most, how), values[most]) for most in sorted(values)])
+    # explode_outer: a plain explode has its input computed a second time, to filter the rows by its size
+    windows = parts.select("row", "doc_id", F.explode_outer(laid).alias("w")).where("w is not null").select("row", "doc_id", "w.*")
+    near = windows.select("*", F.explode_outer(_sketch("window", sorted(values), how)).alias("band"))
+    bands = known.select("template", "most", F.explode_outer("sketch").alias("band"))
+    retrieved = near.join(F.broadcast(bands), ["most", "band"]).drop("most", "band")
     checked = retrieved.join(F.broadcast(known.drop("most", "sketch")), "template")
     share = F.size(F.array_intersect("window", "parts")) / F.size("parts")
-    checked = checked.withColumn("containment", share).where(F.col("containment") >= how.containment - 1e-9)
+    checked = checked.select("row", "doc_id", "template", "license", "notice", "start", share.alias("containment")).distinct()
+    checked = checked.where(F.col("containment") >= how.containment - 1e-9)
     best = F.max(F.struct("containment", (-F.col("start")).alias("from")))
     matches = checked.groupBy("row", "doc_id", "template", "license", "notice").agg(
         best.alias("best"), F.count(F.lit(1)).alias("n_windows")

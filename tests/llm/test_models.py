@@ -245,3 +245,21 @@ def test_no_match_does_without_the_telling_words():
 def test_license_plan_runs_no_python(spark):
     plan = license_scan.license_matches(frame(spark, rows(12)))._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_license_scan_reads_texts_and_hashes_shingles_once(spark):
+    plan = license_scan.license_matches(frame(spark, rows(12)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 + 2  # the texts, the templates for their bands and for the comparison
+
+
+def test_the_chance_of_a_miss_is_that_of_random_hashes():
+    rng = random.Random(5)
+    for shared, others, bands in ((1, 3, 4), (3, 9, 2), (5, 20, 8)):
+        missed, trials = 0, 20_000
+        for _ in range(trials):
+            least = {}
+            for i in range(shared + others):
+                at, value = rng.randrange(bands), rng.random()
+                least[at] = min(least.get(at, (2.0, 0)), (value, i))
+            missed += all(i >= shared for _, i in least.values())
+        assert abs(missed / trials - license_scan.chance_of_miss(shared, others, bands)) < 0.015
