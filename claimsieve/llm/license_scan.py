@@ -44,36 +44,219 @@ MAX_TEMPLATES = 2_000
 #: Shingles of all templates together: what is broadcast stays below some 10 MB.
 MAX_SHINGLES = 500_000
 
-# Customary notices, as their licences word them.
+# Licences and customary notices, as their licences word them. Where two licences share most of a text, the
+# template is a passage that tells them and their versions apart.
 TEMPLATES = (
-    ("MIT", "notice", "Released under the MIT License."),
+    ("MIT", "released", "Released under the MIT License."),
+    ("MIT", "licensed", "Licensed under the MIT License."),
+    ("MIT", "distributed", "Distributed under the MIT License."),
+    ("MIT", "terms", "subject to the terms of the MIT License"),
     (
         "MIT",
         "grant",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-        " documentation files, to deal in the Software without restriction",
+        " documentation files (the \"Software\"), to deal in the Software without restriction",
     ),
+    (
+        "MIT",
+        "whole",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
+        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+        " Software, and to permit persons to whom the Software is furnished to do so, subject to the following"
+        " conditions: The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND,"
+        " EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR"
+        " PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,"
+        " DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN"
+        " CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "ISC",
+        "whole",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies. THE"
+        " SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING"
+        " ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,"
+        " DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR"
+        " PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN"
+        " CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    ("ISC", "licensed", "Licensed under the ISC License"),
+    (
+        "0BSD",
+        "grant",
+        "with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\"",
+    ),
+    (
+        "BSD",
+        "grant",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met",
+    ),
+    (
+        "BSD",
+        "disclaimer",
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,"
+        " EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+        " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF"
+        " LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY"
+        " WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    (
+        "BSD-2-Clause",
+        "second clause",
+        "and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS",
+    ),
+    ("BSD-2-Clause", "licensed", "licensed under the BSD 2-Clause License"),
+    (
+        "BSD-3-Clause",
+        "third clause",
+        "nor the names of its contributors may be used to endorse or promote products derived from this software without"
+        " specific prior written permission.",
+    ),
+    ("BSD-3-Clause", "licensed", "licensed under the BSD 3-Clause License"),
     ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0"),
     (
         "Apache-2.0",
-        "terms",
-        "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "header",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance"
+        " with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless"
+        " required by applicable law or agreed to in writing, software distributed under the License is distributed on"
+        " an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License"
+        " for the specific language governing permissions and limitations under the License.",
     ),
-    ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3"),
+    (
+        "Apache-2.0",
+        "copyright grant",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual,"
+        " worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare"
+        " Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such"
+        " Derivative Works in Source or Object form.",
+    ),
+    (
+        "GPL-2.0",
+        "version",
+        "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the"
+        " License",
+    ),
+    ("GPL-2.0", "notice", "under the GNU General Public License, version 2"),
+    (
+        "GPL-3.0",
+        "version",
+        "terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the"
+        " License",
+    ),
+    ("GPL-3.0", "notice", "under the GNU General Public License, version 3"),
     (
         "GPL-3.0",
+        "preamble",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses"
+        " for most software and other practical works are designed to take away your freedom to share and change the"
+        " works.",
+    ),
+    (
+        "LGPL-2.1",
+        "version",
+        "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1"
+        " of the License",
+    ),
+    (
+        "LGPL-3.0",
+        "version",
+        "terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3"
+        " of the License",
+    ),
+    (
+        "AGPL-3.0",
+        "version",
+        "terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3"
+        " of the License",
+    ),
+    (
+        "GPL family",
+        "warranty",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+        " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    ),
+    (
+        "MPL-2.0",
         "header",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-        " Public License as published by the Free Software Foundation",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+        " not distributed with this file, You can obtain one at",
     ),
-    ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-4.0", "notice", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     (
-        "BSD-3-Clause",
+        "EPL-2.0",
+        "header",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+        " 2.0 which is available at",
+    ),
+    (
+        "BSL-1.0",
+        "header",
+        "Distributed under the Boost Software License, Version 1.0.",
+    ),
+    (
+        "Zlib",
         "grant",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
-        " the following conditions are met",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be"
+        " held liable for any damages arising from the use of this software. Permission is granted to anyone to use"
+        " this software for any purpose, including commercial applications, and to alter it and redistribute it freely,"
+        " subject to the following restrictions",
+    ),
+    (
+        "Unlicense",
+        "grant",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
+        " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,"
+        " for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    ("CC-BY-4.0", "short", "Licensed under CC BY 4.0"),
+    ("CC-BY-4.0", "notice", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-SA-3.0", "short", "Licensed under CC BY-SA 3.0"),
+    (
+        "CC-BY-SA-3.0",
+        "notice",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License",
+    ),
+    ("CC-BY-SA-4.0", "short", "Licensed under CC BY-SA 4.0"),
+    (
+        "CC-BY-SA-4.0",
+        "notice",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    ),
+    ("CC-BY-NC-4.0", "short", "Licensed under CC BY-NC 4.0"),
+    (
+        "CC-BY-NC-4.0",
+        "notice",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    ),
+    ("CC-BY-ND-4.0", "short", "Licensed under CC BY-ND 4.0"),
+    (
+        "CC-BY-ND-4.0",
+        "notice",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    ),
+    ("CC-BY-NC-SA-4.0", "short", "Licensed under CC BY-NC-SA 4.0"),
+    (
+        "CC-BY-NC-SA-4.0",
+        "notice",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ),
+    ("CC-BY-NC-ND-4.0", "short", "Licensed under CC BY-NC-ND 4.0"),
+    (
+        "CC-BY-NC-ND-4.0",
+        "notice",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"
+        " License",
+    ),
+    (
+        "CC0-1.0",
+        "waiver",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this"
+        " work",
     ),
+    ("all rights reserved", "notice", "No part of this publication may be reproduced, distributed, or transmitted"),
 )
 
 

@@ -263,3 +263,47 @@ def test_the_chance_of_a_miss_is_that_of_random_hashes():
                 least[at] = min(least.get(at, (2.0, 0)), (value, i))
             missed += all(i >= shared for _, i in least.values())
         assert abs(missed / trials - license_scan.chance_of_miss(shared, others, bands)) < 0.015
+
+
+def gnu_header(name, version):
+    return (
+        f"foo.c -- part of Foo\n\nThis program is free software; you can redistribute it and/or\n * modify it under the terms of the"
+        f" GNU {name} Public License\n * as published by the Free Software Foundation; either version {version}\n * of the License, or"
+        " (at your option) any later version.\n"
+    )
+
+
+BSD_TEXT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+    " conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+    " following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
+    " and the following disclaimer in the documentation and/or other materials provided with the distribution. {third}THIS SOFTWARE"
+    " IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+)
+THIRD = (
+    "3. Neither the name of Foo Inc. nor the names of its contributors may be used to endorse or promote products derived from this"
+    " software without specific prior written permission. "
+)
+
+
+def test_licences_and_versions_are_told_apart(spark):
+    cases = [
+        (gnu_header("General", "2"), {"GPL-2.0"}),
+        (gnu_header("General", "3"), {"GPL-3.0"}),
+        (gnu_header("Lesser General", "2.1"), {"LGPL-2.1"}),
+        (gnu_header("Lesser General", "3"), {"LGPL-3.0"}),
+        (gnu_header("Affero General", "3"), {"AGPL-3.0"}),
+        (BSD_TEXT.format(third=""), {"BSD", "BSD-2-Clause"}),
+        (BSD_TEXT.format(third=THIRD), {"BSD", "BSD-3-Clause"}),
+        ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+        ("The text is licensed under CC BY-SA 4.0, see below", {"CC-BY-SA-4.0"}),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", {"CC-BY-NC-SA-4.0"}),
+        ("A license is a permission; conditions of distribution are released without restriction by contributors.", set()),
+    ]
+    cases += [(text, {name}) for name, _, text in license_scan.TEMPLATES if name not in ("MIT", "BSD", "Apache-2.0")]
+    cases += [(f"# {text.replace(' ', chr(10) + '# ', 3)}", {name}) for name, _, text in license_scan.TEMPLATES]
+    docs = frame(spark, [(i, text, "en", "a", 1) for i, (text, _) in enumerate(cases)])
+    found = {i: set() for i in range(len(cases))}
+    for row in license_scan.license_matches(docs).collect():
+        found[row.doc_id].add(row.license)
+    assert [found[i] for i in range(len(cases))] == [wanted for _, wanted in cases]
