@@ -6,9 +6,10 @@ count(n-gram) / count(context) for the longest n-gram found elsewhere, times ``b
 shorter step; a text's score is the sum of the logarithms.
 
 The joins are sharded. Texts are dealt into slots of a bounded size. Each slot sends the n-grams it
-holds, each once, to the shard of their hash, as packed sorted arrays with counts. A shard adds up
-the counts of all slots and joins the totals back to the same keys; they return to the slots, where
-every text sums its own words. Words travel as 64-bit hashes, whose collisions are not resolved.
+holds, each once, to the shard of their hash, as packed arrays with counts: a shard is a range of
+hashes, so what a slot sends it is sorted, and the steps between neighbours have fewer bits than the
+hashes. A shard adds up the counts of all slots and returns to each slot, in the order it sent them,
+how often the others hold its n-grams, which is zero for most; there every text sums its own words. Words travel as 64-bit hashes, whose collisions are not resolved.
 No table of the corpus is ever in one place, a frequent n-gram is one entry per slot, and the
 texts move once: both uses of the slots read the same shuffle.
 
@@ -67,54 +68,107 @@ def ngrams(texts: list[bytes], how: Backoff) -> tuple[np.ndarray, list[np.ndarra
     return doc, keys
 
 
-def _different(keys: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, shard, count) of a slot's n-grams of all orders, by shard and key."""
-    every = np.concatenate(keys)
-    key, count = np.unique(every[every > 0], return_counts=True)
-    shard = (_mixed(key) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    return key[order], shard[order], count[order]
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(value: bytes, n: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(value, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as steps, the first byte of all steps first, and so on: the high bytes are mostly zero."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return _packed(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T))
+
+
+def _unpacked_keys(value: bytes, n: int) -> np.ndarray:
+    planes = _unpacked(value, 8 * n, np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _shard_of(key: np.ndarray, shards: int) -> np.ndarray:
+    """Equal ranges of hashes: sorted keys lie in ascending shards."""
+    return (((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
 def _send(shards: int, how: Backoff):
-    names = ["slot", "shard", "keys", "counts"]
+    names = ["slot", "shard", "n", "keys", "counts"]
 
     def task(table: pa.Table) -> pa.Table:
-        key, shard, count = _different(ngrams(raw_texts(table), how)[1], shards)
+        every = np.concatenate(ngrams(raw_texts(table), how)[1])
+        key, count = np.unique(every[every > 0], return_counts=True)
+        shard = _shard_of(key, shards)
         at = np.flatnonzero(np.diff(shard, prepend=-1))
         ends = np.append(at[1:], len(key))
         columns = [
             pa.array([table.column("slot")[0].as_py()] * len(at), pa.int32()),
             pa.array(shard[at], pa.int32()),
-            pa.array([key[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-            pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(at, ends)], pa.binary()),
+            pa.array(ends[: len(at)] - at, pa.int32()),
+            pa.array([_packed_keys(key[a:b]) for a, b in zip(at, ends)], pa.binary()),
+            pa.array([_packed(count[a:b].astype(np.int32)) for a, b in zip(at, ends)], pa.binary()),
         ]
         return pa.table(columns, names)
 
-    return task, "slot int, shard int, keys binary, counts binary"
+    return task, "slot int, shard int, n int, keys binary, counts binary"
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    """The corpus totals of every key that a slot sent to this shard, in the order it was sent."""
-    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")]
-    counts = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in table.column("counts")])
-    back = np.unique(np.concatenate(keys), return_inverse=True)[1]
-    totals = np.bincount(back, weights=counts).astype(np.int64)[back]
-    ends = np.cumsum([len(k) for k in keys])
-    sent = [x.tobytes() for x in np.split(totals, ends[:-1])]
-    return pa.table([table.column("slot"), table.column("shard"), pa.array(sent, pa.binary())], ["slot", "shard", "totals"])
-
-
-def score_texts(doc: np.ndarray, keys: list[np.ndarray], n_docs: int, key: np.ndarray, total: np.ndarray,
-                all_words: int, how: Backoff) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, log score, words that had to go back to single words) of every text. ``key`` is sorted."""
+    """How often the other slots hold every key that a slot sent to this shard, in the order it was sent."""
+    sizes = table.column("n").to_pylist()
+    keys = [_unpacked_keys(x.as_py(), n) for x, n in zip(table.column("keys"), sizes)]
+    counts = [_unpacked(x.as_py(), n, np.int32) for x, n in zip(table.column("counts"), sizes)]
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    first = np.flatnonzero(np.diff(every[order], prepend=np.uint64(0)))  # no key is 0
+    totals = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), first)
+    others = np.empty(len(every), np.int64)
+    others[order] = np.repeat(totals, np.diff(first, append=len(every)))
+    others -= np.concatenate(counts)
+    sent = [_packed(x) for x in np.split(others, np.cumsum(sizes)[:-1])]
+    return pa.table(
+        [table.column("slot"), table.column("shard"), table.column("n"), pa.array(sent, pa.binary())],
+        ["slot", "shard", "n", "others"],
+    )
+
+
+def _elsewhere(doc: np.ndarray, keys: list[np.ndarray], in_others: np.ndarray) -> list[np.ndarray]:
+    """Per order, how often the n-gram that ends at a word stands in other texts.
+
+    ``in_others`` holds, for the slot's different keys in ascending order, the count of the other slots.
+    """
+    orders = [np.argsort(k, kind="stable") for k in keys]
+    starts, known = [], []
+    for k, order in zip(keys, orders):
+        in_order = k[order]
+        starts.append(np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1])) if len(k) else np.zeros(0, np.int64))
+        known.append(in_order[starts[-1]])
+    every = np.unique(np.concatenate(known))
+    every = every[every > 0]
+    found = []
+    for k, order, start, own_keys in zip(keys, orders, starts, known):
+        if not len(k):
+            found.append(np.zeros(0, np.int64))
+            continue
+        there = np.append(in_others, 0)[np.searchsorted(every, own_keys)]
+        total = np.repeat(there + np.diff(start, append=len(k)), np.diff(start, append=len(k)))
+        text = doc[order]  # ascending within a key, as the sort is stable
+        new = np.append(True, text[1:] != text[:-1])
+        new[start] = True
+        run = np.flatnonzero(new)
+        length = np.diff(run, append=len(k))
+        count = np.empty(len(k), np.int64)
+        count[order] = total - np.repeat(length, length)
+        found.append(np.where(k > 0, count, 0))
+    return found
+
+
+def score_texts(doc: np.ndarray, keys: list[np.ndarray], n_docs: int, in_others: np.ndarray, all_words: int,
+                how: Backoff) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, log score, words that had to go back to single words) of every text."""
     n_words = np.bincount(doc, minlength=n_docs)
     rest = (all_words - n_words)[doc]
-    others = []
-    for k in keys:
-        at = np.where(k > 0, np.searchsorted(key, k), len(key))  # a position without n-gram matches no key
-        _, back, own = np.unique(doc * (len(key) + 1) + at, return_inverse=True, return_counts=True)
-        others.append(np.where(k > 0, total[np.minimum(at, len(key) - 1)] - own[back], 0) if len(key) else at)
+    others = _elsewhere(doc, keys, in_others)
     value = np.maximum(others[0], 1) / np.maximum(rest, 1)
     level = np.ones(len(doc), np.int64)
     for n in range(2, how.order + 1):
@@ -126,17 +180,16 @@ def score_texts(doc: np.ndarray, keys: list[np.ndarray], n_docs: int, key: np.nd
     return n_words, np.bincount(doc, weights=np.log(value), minlength=n_docs), alone
 
 
-def _score(shards: int, all_words: int, how: Backoff):
+def _score(all_words: int, how: Backoff):
     schema = "doc_id long, n_words long, log_score double, n_single long"
 
     def task(texts: pa.Table, returned: pa.Table) -> pa.Table:
         doc, keys = ngrams(raw_texts(texts), how)
-        key, _, _ = _different(keys, shards)
         returned = returned.sort_by("shard")
-        parts = [np.frombuffer(x.as_py(), np.int64) for x in returned.column("totals")]
-        total = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        order = np.argsort(key)
-        found = score_texts(doc, keys, texts.num_rows, key[order], total[order], all_words, how)
+        sizes = returned.column("n").to_pylist()
+        parts = [_unpacked(x.as_py(), n, np.int64) for x, n in zip(returned.column("others"), sizes)]
+        in_others = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        found = score_texts(doc, keys, texts.num_rows, in_others, all_words, how)
         columns = [texts.column("doc_id"), pa.array(found[0].astype(np.int64)), pa.array(found[1]), pa.array(found[2].astype(np.int64))]
         return pa.table(columns, [c.split()[0] for c in schema.split(", ")])
 
@@ -155,8 +208,10 @@ def backoff_scores(docs: DataFrame, how: Backoff = Backoff(), id_col: str = "doc
     slot = F.pmod(F.xxhash64(F.lit(how.seed), "doc_id", "text"), F.lit(slots)).cast("int")
     dealt = named.withColumn("slot", slot).repartition(slots, "slot")
     sent = dealt.groupBy("slot").applyInArrow(*_send(shards, how))
-    totals = sent.repartition(shards, "shard").groupBy("shard").applyInArrow(_add_up, "slot int, shard int, totals binary")
-    scored = dealt.groupBy("slot").cogroup(totals.groupBy("slot")).applyInArrow(*_score(shards, all_words, how))
+    totals = sent.repartition(shards, "shard").groupBy("shard").applyInArrow(
+        _add_up, "slot int, shard int, n int, others binary"
+    )
+    scored = dealt.groupBy("slot").cogroup(totals.groupBy("slot")).applyInArrow(*_score(all_words, how))
     return scored.select(
         "doc_id", "n_words", "log_score", F.try_divide("log_score", "n_words").alias("mean_log_score"), "n_single"
     )
