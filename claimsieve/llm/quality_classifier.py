@@ -57,8 +57,6 @@ class Limits:
     #: Texts of less than this many characters vary too much to set limits.
     min_chars: int = 200
     min_texts: int = 30
-    #: At most so many labelled ids are trusted; beyond, those with the smallest hashes. They are broadcast, texts stay where they are.
-    max_trusted: int = 400_000
 
 
 def packed(text: str) -> np.ndarray:
@@ -219,11 +217,10 @@ def perplexity(docs: DataFrame, tables: list[DataFrame]) -> DataFrame:
     return sums.select(*keys, "n_scored", value["log_p"].alias("perplexity"), value["held_log_p"].alias("held_out"))
 
 
-def _good(labels: DataFrame, limits: Limits) -> DataFrame:
-    """The trusted ids, at most ``max_trusted``: small enough to travel to the texts."""
+def _good(labels: DataFrame) -> DataFrame:
+    """All trusted ids. Where a count shows them to be few they travel to the texts, which then stay where they are."""
     good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("q")).where("q = 1")
-    first = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limits.max_trusted)
-    return F.broadcast(stored(first.select(F.col("doc_id").alias("_id"), F.lit(True).alias("trusted")), "trusted"))
+    return bounded(stored(good.select(F.col("doc_id").alias("_id"), F.lit(True).alias("trusted")), "trusted"))
 
 
 def _allowance(limits: Limits) -> Column:
@@ -248,7 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_c
     """doc_id, lang, trusted, n_scored, perplexity, most (the limit) and kept for every row of ``docs``."""
     named = columns_of(docs, doc_id=id_col, lang=lang_col, text=text_col)
     same = F.col("doc_id") == F.col("_id")
-    good = _good(labels, limits)
+    good = _good(labels)
     tables = train(named.join(good, same, "left_semi").select("text"))
     scored = perplexity(named, tables).drop("no").join(good, same, "left").drop("_id")
     scored = stored(scored.fillna(False, ["trusted"]), "perplexity")

@@ -124,6 +124,19 @@ def test_limits_come_from_trusted_texts_without_their_own_counts(spark):
     assert all(r.most == pytest.approx(limit * math.exp(2 / math.sqrt(r.n_scored)), rel=1e-9) for r in got)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_every_labelled_id_is_trusted(spark, monkeypatch, few):
+    """More good labels than once were trusted, and the texts those whose ids hash highest; also where they are joined by shuffles."""
+    if not few:
+        monkeypatch.setattr(quality_classifier, "bounded", lambda df: df)
+    labels = spark.range(400_100).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    last = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id").desc()).limit(40).collect()]
+    rng = random.Random(3)
+    data = [(i, prose(rng, 30), "en", "a", 0) for i in last] + [(-1, prose(rng, 30), "en", "a", 0)]
+    got = quality_classifier.classify(spark.createDataFrame(data, SCHEMA), labels).collect()
+    assert {r.doc_id for r in got if r.trusted} == set(last) and len(got) == 41
+
+
 def test_given_labels_junk_is_rejected_and_clean_texts_stay(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
