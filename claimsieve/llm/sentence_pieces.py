@@ -37,6 +37,8 @@ FILTER_BITS = 20
 UNIGRAM, MERGES = "unigram", "merges"
 #: Longer chunks are merged one by one with a heap.
 LONGEST_BATCHED = 2048
+#: Bytes of text encoded at a time; each takes some 50 bytes of arrays.
+ENCODE_BYTES = 512 << 10
 MARK_BYTES = "▁".encode()
 
 
@@ -302,7 +304,7 @@ def encode(docs: DataFrame, text_col: str = "text", path: str = VOCABULARY, drop
     keep = _kept(docs, "tokens", *([text_col] if drop_text else []))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_col):
+        for part in slices(batches, text_col, ENCODE_BYTES):
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             ids, counts = encode_texts(texts, path, rule)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)

@@ -34,7 +34,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of every text, and whether they decode to it."""
     hashed = docs.select("doc_id", "lang", "source", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    back = sentence_pieces.decode(sentence_pieces.encode(hashed, drop_text=True, rule=sentence_pieces.MERGES))
+    # Written in between: encoding and decoding at once would hold two Python workers a task.
+    pieces = tables.stage(sentence_pieces.encode(hashed, drop_text=True, rule=sentence_pieces.MERGES), "pieces")
+    back = sentence_pieces.decode(pieces)
     return back.select(
         "doc_id", "lang", "source", F.size("tokens").cast("long").alias("n_tokens"), "tokens",
         (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"),

@@ -36,6 +36,12 @@ def test_stages_take_effect(spark):
     assert exact_dedup.exact_groups(exact).where("group_size > 1").isEmpty()
 
 
+def test_encoding_holds_one_python_worker_a_task(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(50)
+    plan = corpus_pipeline.encoded(spark, docs, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_the_rest_does_without_these_modules():
     code = (
         "import sys\n"
