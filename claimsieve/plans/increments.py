@@ -22,7 +22,7 @@ from claimsieve.operators import features as feat
 from claimsieve.operators.cleansing import violation_rows
 from claimsieve.params import CLAIMS, DEFAULTS, Columns, Params
 from claimsieve.sources.tables import new_folder, replace_days, write_layer
-from claimsieve.streaming.scorer import DAY, RECORD, clean_stream
+from claimsieve.streaming.scorer import DAY, RECORD, append_new, clean_stream, day_sizes
 
 
 @dataclass(frozen=True)
@@ -79,19 +79,16 @@ def deliver(
 
     ``period`` makes them months or hours, for all deliveries of a store alike.
     """
-    clean = clean_stream(rows, params, cols, period).dropDuplicates([RECORD, DAY])
+    clean = clean_stream(rows, params, cols, period)
     fresh = new_folder(spark, "delivery")
     clean.write.parquet(fresh)  # once: its days, its rows and a retry read the same
     clean = spark.read.schema(clean.schema).parquet(fresh)
-    days = sorted(r[0] for r in clean.select(DAY).distinct().collect())
+    sizes = day_sizes(clean)
+    days = sorted(sizes)
     if not days:
         return []
     known = stored(spark, store.silver)
-    new = clean
-    if known is not None:
-        same_days = known.where(F.col(DAY).isin(days)).select(RECORD, DAY)
-        new = clean.join(same_days, [RECORD, DAY], "left_anti")
-    write_layer(new, store.silver, overwrite=False, partition_by=(DAY,))
+    append_new(clean, None if known is None else known.where(F.col(DAY).isin(days)), store.silver, sizes)
     touched = stored(spark, store.silver).where(F.col(DAY).isin(days))
     store_days(feat.moments(touched, (cols.provider, DAY), cols, CENTS), store.moments, moment_checks)
     return days
