@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from claimsieve.operators import clusters, model, scoring
 from claimsieve.params import Params
+from claimsieve.plans import catalogue
 
 PARAMS = Params(feature_columns=("a", "b", "amount_to_avg_ratio"))
 
@@ -178,3 +179,18 @@ def test_few_different_points_and_far_ones(spark):
     far = spark.createDataFrame([(1 << 31, 0, 0)], "x0 long, x1 long, x2 long")
     with pytest.raises(Exception, match="scale it first"):
         model.fit(far, PARAMS.feature_columns, PARAMS)
+
+
+def test_gold_reads_the_records_once(spark):
+    plan = catalogue.gold_anomalies(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan and "billed_amount" in plan
+
+
+def test_squares_and_seeds_of_copies(spark):
+    """Distances by column, and seeds that do not depend on how often a point is there."""
+    x = np.random.default_rng(5).integers(-9, 10, (400, 3))
+    centers = ((0, 0, 0), (3, -2, 5))
+    assert np.array_equal(model._squares(x, centers), np.stack([((x - np.array(c)) ** 2).sum(axis=1) for c in centers], axis=1))
+    placed = spark.createDataFrame(x.tolist(), "x0 long, x1 long, x2 long")
+    once = model._seeds(placed.distinct(), 3, centers, 42)
+    assert len(once) == model.SEEDS and model._seeds(placed.unionAll(placed), 3, centers, 42) == once

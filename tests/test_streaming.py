@@ -147,3 +147,23 @@ def test_a_repeated_batch_is_stored_once(spark, arrivals, tmp_path, monkeypatch)
     monkeypatch.undo()
     got = deliver_by_state(spark, timed, [timed.limit(3)], tmp_path)
     assert rows_of(got.select(timed.columns)) == rows_of(cleansing.cleanse(timed).select(timed.columns))
+
+
+def test_new_records_take_one_exchange_and_large_days_several_tasks(spark, tmp_path, monkeypatch):
+    """Copies within a delivery and of stored records go; the digest is 16 bytes."""
+    monkeypatch.setattr(scorer, "DAY_ROWS", 100)
+    rows = spark.range(700).select((F.col("id") % 600).alias("id"), F.when(F.col("id") % 600 < 500, "a").otherwise("b").alias(scorer.DAY))
+    rows = rows.withColumn(scorer.RECORD, scorer.record_key([("id", "bigint")]))
+    assert {len(r[0]) for r in rows.select(scorer.RECORD).collect()} == {16}
+    target = str(tmp_path / "out")
+    sizes = scorer.day_sizes(rows)
+    assert sizes == {"a": 600, "b": 100}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows share a task
+    try:
+        scorer.append_new(rows.where("id < 300"), None, target, {"a": 400})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    seen = spark.read.parquet(target)
+    assert seen.count() == 300 and len(seen.inputFiles()) > 1
+    scorer.append_new(rows, seen, target, sizes)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(600))
