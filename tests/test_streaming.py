@@ -149,6 +149,24 @@ def test_a_repeated_batch_is_stored_once(spark, arrivals, tmp_path, monkeypatch)
     assert rows_of(got.select(timed.columns)) == rows_of(cleansing.cleanse(timed).select(timed.columns))
 
 
+def test_a_batch_with_late_records_goes_through_the_state_once(spark, arrivals, tmp_path):
+    """Else join and state ran again for its late part, and every task wrote a file of every day."""
+    _, timed = arrivals
+    key = F.substring("claim_id", 2, 8).cast("int")
+    into, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for part in (timed.filter(key >= 300), timed.filter(key < 300)):
+        part.coalesce(1).write.mode("append").parquet(into)
+        stream = scorer.clean_stream(scorer.read_files(spark, into, timed.schema), period="yyyy")
+        query = scorer.write_new_by_state(stream, target, progress, "service_ts", 86_400)
+        query.awaitTermination()
+    second = scorer.clean_stream(timed.filter(key < 300)).select(scorer.RECORD).distinct().count()
+    assert query.lastProgress["stateOperators"][0]["numRowsUpdated"] == second > 100
+    files = spark.read.parquet(target).inputFiles()
+    assert len(files) == len({f.rsplit("/", 1)[0] for f in files})
+    got = scorer.read_target(spark, target, stream.schema)
+    assert rows_of(got.select(timed.columns)) == rows_of(cleansing.cleanse(timed).select(timed.columns))
+
+
 def test_new_records_take_one_exchange_and_large_days_several_tasks(spark, tmp_path, monkeypatch):
     """Copies within a delivery and of stored records go; the digest is 16 bytes."""
     monkeypatch.setattr(scorer, "DAY_ROWS", 100)
