@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from claimsieve.llm import lm_scoring, pieces, quality_rules, sentence_pieces, token_counts
 from tests.llm.helpers import SCHEMA, frame, rows, widened
@@ -216,3 +217,28 @@ def test_backoff_of_nothing_and_of_one_text(spark):
     assert lm_scoring.backoff_scores(spark.createDataFrame([], SCHEMA)).collect() == []
     got = lm_scoring.backoff_scores(frame(spark, [(1, "a b", "en", "a", 3), (2, None, "en", "a", 0)])).collect()
     assert {r.doc_id: r.n_words for r in got} == {1: 2, 2: 0}
+
+
+def test_backoff_moves_texts_as_compressed_blocks(spark):
+    """One block per slot and task, and both uses of the slots read one exchange; ids of any kind, also NULL."""
+    data = [(i if i % 9 else None, " ".join(f"w{j * i % 50}" for j in range(400)), "en", "a", 0) for i in range(60)] + [(77, None, "en", "a", 0)]
+    docs = frame(spark, data).coalesce(1)
+    how = lm_scoring.Backoff(slot_bytes=20_000, pack_bytes=30_000)
+    kind = "slot int, ids array<bigint>, size long, packed binary"
+    with_slot = docs.withColumn("slot", (F.coalesce("doc_id", F.lit(0)) % 3).cast("int")).select("doc_id", "text", "slot")
+    blocks = with_slot.mapInArrow(lm_scoring._pack(how), kind).collect()
+    assert len(blocks) == 3 and sum(len(b.packed) for b in blocks) < 0.5 * sum(len(r[1] or "") for r in data)
+    got = lm_scoring.backoff_scores(docs, how)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "packed" in plan
+    want = plain_backoff([r[1] or "" for r in data], 3)
+    assert sorted([(r.doc_id, r.n_words, round(r.log_score, 6) + 0.0) for r in got.collect()], key=repr) == sorted(
+        [(r[0], n, round(s, 6) + 0.0) for r, (n, s) in zip(data, want)], key=repr
+    )
+    assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("ReusedExchange") == 1
+
+
+def test_order_of_keys_that_share_their_high_bits():
+    some = np.random.default_rng(5).integers(0, 1 << 62, 20_000).astype(np.uint64)
+    for keys in (some, some & np.uint64(0xFFF), some & np.uint64(0xFF0000000000000F), some[:1], some[:0]):
+        assert (lm_scoring._order(keys) == np.argsort(keys, kind="stable")).all()
