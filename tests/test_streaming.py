@@ -185,3 +185,20 @@ def test_new_records_take_one_exchange_and_large_days_several_tasks(spark, tmp_p
     assert seen.count() == 300 and len(seen.inputFiles()) > 1
     scorer.append_new(rows, seen, target, sizes)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(600))
+
+
+def test_a_day_is_dealt_to_one_task_and_gets_one_file(spark, tmp_path):
+    """A slot that was 0 for all rows fell out of the grouping: the records were exchanged again, by digest, and every task wrote every day."""
+    rows = spark.range(700).select((F.col("id") % 600).alias("id"), F.concat(F.lit("d"), F.col("id") % 3).alias(scorer.DAY))
+    rows = rows.withColumn(scorer.RECORD, scorer.record_key([("id", "bigint")]))
+    target = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows share a task
+    try:
+        scorer.append_new(rows.where("id < 300"), None, target, {"d0": 100, "d1": 100, "d2": 100})
+        first = spark.read.parquet(target)
+        assert first.count() == 300 and len(first.inputFiles()) == 3
+        scorer.append_new(rows, first, target, scorer.day_sizes(rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    both = spark.read.parquet(target)
+    assert sorted(r.id for r in both.collect()) == list(range(600)) and len(both.inputFiles()) == 6
