@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from claimsieve.operators import cleansing, clusters, scoring
 from claimsieve.operators import features as feat
 from claimsieve.operators.clusters import Centroids
+from claimsieve.plans import catalogue
 from claimsieve.plans.catalogue import BAND
 from claimsieve.streaming import scorer
 
@@ -202,3 +203,43 @@ def test_a_day_is_dealt_to_one_task_and_gets_one_file(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     both = spark.read.parquet(target)
     assert sorted(r.id for r in both.collect()) == list(range(600)) and len(both.inputFiles()) == 6
+
+
+def test_scores_are_added_to_new_records_only(spark, arrivals, tmp_path):
+    """They come after copies are gone, so a batch is kept and exchanged without them; the result is that of a batch."""
+    folder, timed = arrivals
+    clean = cleansing.cleanse(timed)
+    built = cleansing.drop_incomplete(feat.features(clean))
+    scale = feat.population_moments(built, BAND.columns).first()
+    means, deviations = (tuple(scale[f"{m}_{c}"] for c in BAND.columns) for m in ("mean", "sd"))
+    model = Centroids(BAND.columns, BAND.centers, means, deviations)
+    worst = clusters.anomaly_cluster(clusters.assign(built, model)).first().anomaly_cluster
+    baseline, seen = feat.provider_baseline(clean), []
+
+    def scored(records):
+        seen.append((records.where("hospital_id IS NOT NULL").count(), set(records.columns)))  # others are not stored and come again
+        return scorer.score_stream(records, baseline, model, worst, small=True)
+
+    target = str(tmp_path / "out")
+    for parts in ("part-0", "part-[01]", "part-*"):
+        stream = scorer.clean_stream(scorer.read_files(spark, f"{folder}/{parts}", timed.schema))
+        scorer.write_new(stream, target, str(tmp_path / "progress"), scored).awaitTermination()
+    per_run = [n for n, _ in seen]
+    assert len(per_run) == 3 and sum(per_run) == clean.where("hospital_id IS NOT NULL").count() and all(names == set(stream.columns) for _, names in seen)
+    want = scoring.gold(feat.features(clean), model)
+    got = spark.read.parquet(target)
+    assert rows_of(got.select(want.columns)) == rows_of(want)
+
+
+def test_a_scored_stream_is_scored_after_the_exchange_where_the_baseline_is_small(spark, monkeypatch):
+    """Where it is not, the join exchanges the records anyway and comes first; the result is that of a batch."""
+    small, folder, delivered, seen = [True], "/root/testdata/sf0.001", catalogue._delivered, []
+    monkeypatch.setattr(catalogue, "providers_fit", lambda spark, folder: small[0])
+    monkeypatch.setattr(catalogue, "_delivered", lambda *args, **named: seen.append(sorted(named)))
+    catalogue.stream_gold(spark, folder)
+    assert seen == [["finish"]]
+    small[0] = False
+    monkeypatch.setattr(catalogue, "_delivered", delivered)
+    got = catalogue.stream_gold(spark, folder)
+    want = catalogue.gold(spark, folder)
+    assert rows_of(got.select(want.columns)) == rows_of(want)
